@@ -141,22 +141,3 @@ class Inputs:
         return df
 
 
-def with_views(text: str) -> str:
-    """Put the views a query reads in front of it, as common table expressions in order."""
-    needed: set[str] = set()
-
-    def collect(part: str) -> None:
-        for name in reads(part):
-            if name in VIEWS and name not in needed:
-                needed.add(name)
-                collect(VIEWS[name])
-
-    collect(text)
-    parts = [f"{name} AS ({VIEWS[name]}\n)" for name in VIEWS if name in needed]
-    body = text.strip()
-    if body.startswith("WITH "):
-        parts.append(body[len("WITH "):])
-        joined = ",\n".join(parts)
-    else:
-        joined = ",\n".join(parts) + "\n" + body
-    return re.sub(r"\{(\w+)\}", r"\1", ("WITH " if parts else "") + joined)

@@ -101,17 +101,17 @@ def fill_month_gaps(
         **{c: F.last(c, ignorenulls=True).over(up_to_now) for c in carry},
     })
     months = F.sequence("spread_from", "spread_to", F.expr("interval 1 month"))
-    grid = spread.withColumn("month", F.explode_outer(months))
-    real = F.col("month").eqNullSafe(date)
-    known = F.coalesce(F.col("month") >= date, F.lit(True))
+    grid = spread.withColumn("grid_date", F.explode_outer(months))
+    real = F.col("grid_date").eqNullSafe(date)
+    known = F.coalesce(F.col("grid_date") >= date, F.lit(True))
 
     def filled(c: str) -> Column:
         if c == CUSTOMER or c in attributes:
             return F.col(c)
         if c == "date":
-            return F.col("month").alias(c)
+            return F.col("grid_date").alias(c)
         if c in ("YEAR", "MONTH"):
-            part = F.year("month") if c == "YEAR" else F.month("month")
+            part = F.year("grid_date") if c == "YEAR" else F.month("grid_date")
             return F.coalesce(part, F.col(c)).alias(c)
         return F.when(known if c in carry else real, F.col(c)).alias(c)
 
