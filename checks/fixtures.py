@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ebbtide.session import new_folder
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "labels"]
 
 _MONTH_NAME = "substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST((month({0}) - 1) * 3 + 1 AS INT), 3)"
@@ -33,6 +35,8 @@ def _amount(condition: str, name: str) -> str:
 
 _BY_LINE = ["NO_ATM", "NO_SMB", "NO_FUND_TRANSFER", "NO_DEPOSIT", "NO_WITHDRAW", "NO_INTEREST_PAYMENT", "NO_FEE_TRANSACTION"]
 
+_AMOUNTS = ["AMT_CREDIT", "AMT_DEBIT", "AMOUNT_TRANSACTION", "AMOUNT_TRANSACTION_AUTO"]
+
 _ACCOUNT_KEY = "CAST(k AS STRING) AS HASHED_CIF, concat(CAST(k AS STRING), '-', CAST(a AS STRING)) AS HASHED_AC"
 
 VIEWS = {
@@ -118,11 +122,48 @@ FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id""",
 }
 
 
+def _cents(condition: str, name: str) -> str:
+    return f"sum(CASE WHEN {condition} THEN cents ELSE 0 END) AS {name}"
+
+
+# The same rows for Spark: amounts are added up as whole cents, which keeps the sums in 64-bit
+# arithmetic, and become decimals once per group.
+FOR_SPARK = {
+    "raw_transaction_clean": f"""
+SELECT YEAR, MONTH, WEEK, CAST(o_custkey AS STRING) AS HASHED_CIF,
+       concat(CAST(o_custkey AS STRING), '-', CAST(a AS STRING)) AS HASHED_AC,
+       NO_TRANSATION, NO_CREDIT, NO_DEBIT, {", ".join(_BY_LINE)}, NO_TRANSATION_AUTO, CCY,
+       CAST(PRE_CLS_BAL AS DECIMAL(18,2)) AS PRE_CLS_BAL,
+       {", ".join(f"CAST({c} * 0.01BD AS DECIMAL(18,2)) AS {c}" for c in _AMOUNTS)}
+FROM (
+  SELECT CAST(year(o_orderdate) AS INT) AS YEAR, CAST(month(o_orderdate) AS INT) AS MONTH,
+         CAST((day(o_orderdate) - 1) DIV 7 AS INT) + 1 AS WEEK, o_custkey, l_suppkey % 3 AS a,
+         CASE WHEN l_suppkey % 20 = 0 THEN 'USD' ELSE 'VND' END AS CCY, count(*) AS NO_TRANSATION,
+         {_count("l_returnflag = 'R'", "NO_CREDIT")}, {_count("l_returnflag <> 'R'", "NO_DEBIT")},
+         {", ".join(_count(f"l_linenumber = {i}", name) for i, name in enumerate(_BY_LINE, 1))},
+         {_count("l_linestatus = 'F'", "NO_TRANSATION_AUTO")}, max(c_acctbal) AS PRE_CLS_BAL,
+         {_cents("l_returnflag = 'R'", "AMT_CREDIT")}, {_cents("l_returnflag <> 'R'", "AMT_DEBIT")},
+         sum(cents) AS AMOUNT_TRANSACTION, {_cents("l_linestatus = 'F'", "AMOUNT_TRANSACTION_AUTO")}
+  FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM {{lineitem}})
+       JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{customer}} ON o_custkey = c_custkey
+  GROUP BY 1, 2, 3, 4, 5, 6)""",
+}
+
+
 def reads(text: str) -> list[str]:
     """The tables and views named in a text."""
     return sorted(set(re.findall(r"\{(\w+)\}", text)))
 
 
+# The tables a bank would hand over as files. They are written to the shared folder once per
+# session and folder; queries then scan them, with columns pruned and filters pushed down.
+STORED = [
+    "raw_transaction", "raw_account", "raw_demographics",
+    "mapping_data_region", "mapping_data_occupation", "mapping_data_translation",
+]
+_written: dict[tuple[str, str, str], str] = {}
+
+
 class Inputs:
     """Test tables and views of one directory as DataFrames: ``Inputs(spark, d).raw_account``."""
 
@@ -131,8 +172,15 @@ class Inputs:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in VIEWS:
-            parts = {part: getattr(self, part) for part in reads(VIEWS[name])}
-            df = self.spark.sql(VIEWS[name], **parts)
+            text = FOR_SPARK.get(name, VIEWS[name])
+            key = (self.spark.sparkContext.applicationId, self.folder, name)
+            if key not in _written:
+                df = self.spark.sql(text, **{part: getattr(self, part) for part in reads(text)})
+                if name in STORED:
+                    _written[key] = new_folder(self.spark, name)
+                    df.write.parquet(_written[key])
+            if key in _written:
+                df = self.spark.read.parquet(_written[key])
         elif name in TABLES:
             df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         else:

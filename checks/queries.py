@@ -114,19 +114,23 @@ def window_panel(t: Inputs) -> DataFrame:
     return training_set.transform_transactions(tables(t), dated_demographics(t), OBSERVATION)
 
 
-def merged(t: Inputs, trailing_table: DataFrame | None = None) -> DataFrame:
+def merged(
+    t: Inputs, trailing_table: DataFrame | None = None, months: DataFrame | None = None
+) -> DataFrame:
     return churn.merge_tables(
-        window_panel(t).drop("date"), accounts.transform_accounts(accounts.clean_account_events(t.raw_account)),
+        (months or window_panel(t)).drop("date"), accounts.transform_accounts(accounts.clean_account_events(t.raw_account)),
         grouped_demographics(t), YEAR, MONTH, trailing_table,
     )
 
 
 def labelled(t: Inputs) -> DataFrame:
-    return churn.with_churn_label(merged(t), churn.churn_label(window_panel(t)), YEAR, MONTH)
+    months = materialise(window_panel(t), "panel")
+    return churn.with_churn_label(merged(t, months=months), churn.churn_label(months), YEAR, MONTH)
 
 
-def prediction_table(t: Inputs) -> DataFrame:
-    return t.scored
+def stored_labelled(t: Inputs) -> DataFrame:
+    """The steps after this one read the table several times."""
+    return materialise(labelled(t), "labelled")
 
 
 # --- sources and sinks --------------------------------------------------------------------------
@@ -605,19 +609,19 @@ _UNIT = f"CAST(concat('0x', substr(md5(concat('{SEED}', {ID})), 1, 8)) AS BIGINT
 
 @query(f"SELECT {ID}, CASE WHEN {_UNIT} < {TEST_SIZE} THEN 'test' ELSE 'train' END AS part FROM {{labelled_w}}")
 def split_by_hash(t):
-    train, test = sample.split_by_hash(labelled(t), TEST_SIZE, SEED)
+    train, test = sample.split_by_hash(stored_labelled(t), TEST_SIZE, SEED)
     parts = [df.select(CUSTOMER, F.lit(name).alias("part")) for name, df in (("train", train), ("test", test))]
     return parts[0].unionAll(parts[1])
 
 
 @query()
 def remove_outliers(t):
-    return outliers.remove_outliers(materialise(labelled(t), "labelled"), 0.05).select(CUSTOMER)
+    return outliers.remove_outliers(stored_labelled(t), 0.05).select(CUSTOMER)
 
 
 @query()
 def outlier_scores(t):
-    table = materialise(labelled(t), "labelled")
+    table = stored_labelled(t)
     names = outliers.examined_columns(table)
     return outliers.outlier_scores(table, names).select(CUSTOMER, F.round("outlier_score", 6).alias("score"))
 
@@ -635,14 +639,15 @@ def correlations(t):
 
 @query()
 def select_uncorrelated(t):
-    table = materialise(labelled(t), "labelled")
+    table = stored_labelled(t)
     return table.select(prepare.select_uncorrelated(table, 0.9)).select(CUSTOMER, TARGET, "No_of_Acc_Held")
 
 
 @query()
 def feature_importances(t):
-    train, _ = sample.split_by_hash(labelled(t).select(CUSTOMER, *FEATURES, TARGET), TEST_SIZE, SEED)
-    return rounded(prepare.feature_importances(materialise(train, "train"), seed=SEED), ["Value"])
+    table = stored_labelled(t).select(CUSTOMER, *FEATURES, TARGET)
+    train, _ = sample.split_by_hash(table, TEST_SIZE, SEED)
+    return rounded(prepare.feature_importances(train, seed=SEED), ["Value"])
 
 
 def _scaled(c):
@@ -654,14 +659,14 @@ def _scaled(c):
 
 @query(f"SELECT * FROM (SELECT {ID}, churn_flag, {_join(_scaled(c) for c in FEATURES)} FROM {{labelled_w}})")
 def standardise(t):
-    table = labelled(t).select(CUSTOMER, *FEATURES, TARGET)
+    table = stored_labelled(t).select(CUSTOMER, *FEATURES, TARGET)
     train, test = prepare.standardise(*sample.split_by_hash(table, TEST_SIZE, SEED))
     return rounded(train.unionByName(test), FEATURES)
 
 
 @query(f"SELECT * FROM (SELECT {ID}, churn_flag, {_join(_scaled(c) for c in FEATURES)} FROM {{labelled_w}})")
 def standardise_vectors(t):
-    table = labelled(t).select(CUSTOMER, *FEATURES, TARGET)
+    table = stored_labelled(t).select(CUSTOMER, *FEATURES, TARGET)
     train, _ = sample.split_by_hash(table, TEST_SIZE, SEED)
     model = prepare.fit_vector_scaling(train, FEATURES)
     scaled = prepare.scale_vectors(model, table, FEATURES)
@@ -673,13 +678,13 @@ def standardise_vectors(t):
 
 @query(f"SELECT {ID}, {_plain(MEASURES)}, churn_flag FROM {{labelled_w}}")
 def split_ids(t):
-    ids, features = prepare.split_ids(labelled(t).select(CUSTOMER, *MEASURES, TARGET))
+    ids, features = prepare.split_ids(stored_labelled(t).select(CUSTOMER, *MEASURES, TARGET))
     return ids.join(features, CUSTOMER)
 
 
 @query(f"SELECT {ID}, {_plain(MEASURES)}, churn_flag FROM {{labelled_w}}")
 def split_ids_new_data(t):
-    ids, features = prepare.split_ids_new_data(labelled(t).select(CUSTOMER, *MEASURES, TARGET), monitoring=True)
+    ids, features = prepare.split_ids_new_data(stored_labelled(t).select(CUSTOMER, *MEASURES, TARGET), monitoring=True)
     return ids.join(features, CUSTOMER)
 
 
@@ -687,7 +692,7 @@ def split_ids_new_data(t):
 
 
 def _prepared(t, columns=FEATURES):
-    table = materialise(labelled(t).select(CUSTOMER, *columns, TARGET), "labelled")
+    table = stored_labelled(t).select(CUSTOMER, *columns, TARGET)
     train, test = sample.split_by_hash(table, TEST_SIZE, SEED)
     return prepare.standardise(train, test)
 
