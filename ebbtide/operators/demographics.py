@@ -67,8 +67,22 @@ def group_demographics(df: DataFrame, regions: DataFrame, occupations: DataFrame
     })
 
 
+def _categories(df: DataFrame, columns: list[str]) -> list[tuple[str, str]]:
+    """The (column, value) pairs that occur, in column order, then value order, in one pass.
+
+    They are held by the driver; more than ``MAX_CATEGORIES`` is an error, not a cut.
+    """
+    long = df.select([F.col(c).cast("string") for c in columns]).unpivot([], columns, "name", "value")
+    found = long.filter(F.col("value").isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
+    if len(found) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories in {columns}")
+    pairs = sorted((columns.index(row["name"]), row["value"]) for row in found)
+    return [(columns[position], value) for position, value in pairs]
+
+
 def category_index(df: DataFrame, columns: list[str]) -> DataFrame:
     """``<column>_index``, the most frequent value first; unseen and null values come last."""
+    _categories(df, columns)  # the indexer itself would collect any number of labels
     indexer = StringIndexer(
         inputCols=columns, outputCols=[f"{c}_index" for c in columns], handleInvalid="keep"
     )
@@ -77,6 +91,7 @@ def category_index(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def fit_category_vectors(df: DataFrame, columns: list[str]) -> PipelineModel:
     """Index and one-hot stages with vector output ``<column>_encoded``."""
+    _categories(df, columns)
     return Pipeline(stages=[
         StringIndexer(
             inputCols=columns, outputCols=[f"{c}_index" for c in columns], handleInvalid="keep"
@@ -102,13 +117,5 @@ class OneHot:
 
 
 def fit_one_hot(df: DataFrame, columns: list[str]) -> OneHot:
-    """Collect the categories of the training table in one pass.
-
-    Every category becomes a column, so more than ``MAX_CATEGORIES`` is an error, not a cut.
-    """
-    long = df.select([F.col(c).cast("string") for c in columns]).unpivot([], columns, "name", "value")
-    found = long.filter(F.col("value").isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {columns}")
-    pairs = sorted((columns.index(row["name"]), row["value"]) for row in found)
-    return OneHot(tuple((columns[position], value) for position, value in pairs))
+    """One 0/1 column for each category of the training table."""
+    return OneHot(tuple(_categories(df, columns)))

@@ -23,6 +23,22 @@ AGGREGATES = {
 }
 
 
+def _recent(panel: DataFrame, year: int, month: int, historical_months: int, names: list[str]) -> DataFrame:
+    """The months of the longest window with their ``age``, all of a customer's in one place.
+
+    At most ``historical_months`` narrow rows per customer are moved, so no customer is a burden,
+    and every grouping that follows happens where the rows are.
+    """
+    now = year * 12 + month
+    at = month_index(F.col("YEAR"), F.col("MONTH"))
+    oldest = now - historical_months + 1
+    return (
+        panel.filter(F.col("YEAR").between((oldest - 1) // 12, year) & at.between(oldest, now))
+        .select(CUSTOMER, *names, (F.lit(now) - at).alias("age"))
+        .repartition(CUSTOMER)
+    )
+
+
 def trailing_long(
     panel: DataFrame, year: int, month: int, historical_months: int = 6,
     columns: list[str] | None = None,
@@ -33,13 +49,9 @@ def trailing_long(
     these and everything is one grouping. The standard deviation of a single month is null.
     """
     names = columns or TRAILING_COLUMNS
-    now = year * 12 + month
-    at = month_index(F.col("YEAR"), F.col("MONTH"))
-    oldest = now - historical_months + 1
-    recent = panel.filter(
-        F.col("YEAR").between((oldest - 1) // 12, year) & at.between(oldest, now)
-    ).select(CUSTOMER, *names, F.explode(F.sequence(now + 1 - at, F.lit(historical_months))).alias("months"))
-    return recent.groupBy(CUSTOMER, "months").agg(
+    windows = F.sequence(F.col("age") + 1, F.lit(historical_months))
+    recent = _recent(panel, year, month, historical_months, names)
+    return recent.withColumn("months", F.explode(windows)).groupBy(CUSTOMER, "months").agg(
         *[f(c).alias(f"{c}_{suffix}") for c in names for suffix, f in AGGREGATES.items()]
     )
 
@@ -50,14 +62,20 @@ def trailing_features(
 ) -> DataFrame:
     """One row per customer, columns ``<column>_l<i>m_<aggregate>``.
 
-    A customer without a row in a short window has nulls there. The turn from long to wide groups
-    by customer, which the long form's partitioning already satisfies in the plan of a panel.
+    Each window of the long form travels as one struct and finds its place by its length, which
+    takes as many aggregates as there are windows and not as there are columns. The long form is
+    laid out by customer already, so the rows do not move again. A customer without a row in a
+    short window has nulls there.
     """
     names = columns or TRAILING_COLUMNS
     long = trailing_long(panel, year, month, historical_months, names)
-    windows = list(range(1, historical_months + 1))
     values = [f"{c}_{suffix}" for c in names for suffix in AGGREGATES]
-    wide = long.groupBy(CUSTOMER).pivot("months", windows).agg(*[F.first(v).alias(v) for v in values])
-    return wide.toDF(
-        CUSTOMER, *[f"{c}_l{i}m_{suffix}" for i in windows for c in names for suffix in AGGREGATES]
+    windows = range(1, historical_months + 1)
+    of_length = {i: F.when(F.col("months") == i, F.col("window")) for i in windows}
+    wide = long.select(CUSTOMER, "months", F.struct(*values).alias("window")).groupBy(CUSTOMER).agg(
+        *[F.first(window, ignorenulls=True).alias(f"w{i}") for i, window in of_length.items()]
     )
+    return wide.select(CUSTOMER, *[
+        F.col(f"w{i}.{c}_{suffix}").alias(f"{c}_l{i}m_{suffix}")
+        for i in windows for c in names for suffix in AGGREGATES
+    ])
