@@ -24,6 +24,5 @@ def human_format(number: Column) -> Column:
     )
     digits = F.format_string("%.6f", rounded / F.pow(F.lit(1000.0), power))
     suffix = F.element_at(F.array(*[F.lit(s) for s in SUFFIXES]), (power + 1).cast("int"))
-    return F.when(value == 0, F.lit("0")).otherwise(
-        F.concat(F.regexp_replace(digits, r"\.?0+$", ""), suffix)
-    )
+    text = F.concat(F.regexp_replace(digits, r"\.?0+$", ""), suffix)
+    return F.when(value == 0, F.lit("0")).when(value.isNotNull(), text)

@@ -8,7 +8,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions import row_hash
 from ..schemas import CUSTOMER, TARGET
 from .sample import smallest_by_hash
 
@@ -78,18 +77,28 @@ def _numbers(names: Sequence[str]) -> list:
 
 
 def grow_forest(
-    df: DataFrame, names: Sequence[str], key: str = CUSTOMER, trees: int = TREES, seed: int = 42
+    df: DataFrame, names: Sequence[str], key: str = CUSTOMER, trees: int = TREES, seed: int = 42,
+    rows: int | None = None,
 ) -> DataFrame:
     """All nodes of all trees, the trees grown in parallel.
 
     Each tree sees 256 rows. They come from a pool of at most 256 rows per tree, drawn by hash from
-    the whole table, so neither the pool nor a tree's group grows with the table.
+    the whole table, so neither the pool nor a tree's group grows with the table. ``rows`` is the
+    table's size if it is known.
     """
-    pool = smallest_by_hash(
-        df.select(F.col(key), F.array(*_numbers(names)).alias("values")), key, trees * ROWS_PER_TREE, seed
+    size = trees * ROWS_PER_TREE
+    pool_rows = min(size, df.count() if rows is None else rows)
+    pool = smallest_by_hash(df.select(F.col(key), F.array(*_numbers(names)).alias("values")), key, size, seed)
+    draw = F.xxhash64(F.lit(seed), "tree", F.col(key))
+    # twice the rows a tree needs pass by chance, before anything is moved
+    share = 2 * ROWS_PER_TREE / max(pool_rows, 1)
+    highest = min(2**63 - 1, int(share * 2**63))
+    drawn = (
+        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        .withColumn("draw", F.shiftrightunsigned(draw, 1))
+        .filter(F.col("draw") <= highest)
     )
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    order = Window.partitionBy("tree").orderBy(row_hash(F.concat_ws(":", "tree", key), seed), key)
+    order = Window.partitionBy("tree").orderBy("draw", key)
     sample = drawn.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= ROWS_PER_TREE)
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
@@ -103,13 +112,14 @@ def outlier_scores(
     df: DataFrame, names: Sequence[str], key: str = CUSTOMER, trees: int = TREES, seed: int = 42
 ) -> DataFrame:
     """Add ``outlier_score`` between 0 and 1, high for rows that few cuts set apart."""
+    rows = df.count()
     # at most 511 nodes per tree, whatever the size of the table
-    nodes = grow_forest(df, names, key, trees, seed).toPandas().sort_values(["tree", "node"])
+    nodes = grow_forest(df, names, key, trees, seed, rows).toPandas().sort_values(["tree", "node"])
     forest = [
         {c: group[c].to_numpy() for c in ("feature", "threshold", "left_child", "right_child", "length")}
         for _, group in nodes.groupby("tree")
     ]
-    drawn = min(ROWS_PER_TREE, df.count())
+    drawn = min(ROWS_PER_TREE, rows)
     scale = max(float(_average_path(drawn)), 1.0) * max(len(forest), 1)
     shared = df.sparkSession.sparkContext.broadcast(forest)
 
