@@ -634,7 +634,7 @@ CORRELATED = [*PANEL_MEASURES, "No_of_Acc_Held", "churn_flag"]
     f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), {ROUND}) AS r "
     "FROM {labelled_w}" for i, a in enumerate(CORRELATED) for b in CORRELATED[i + 1:]], " UNION ALL "))
 def correlations(t):
-    return rounded(prepare.correlations(labelled(t), CORRELATED), ["r"])
+    return rounded(prepare.correlations(stored_labelled(t), CORRELATED), ["r"])
 
 
 @query()
@@ -650,6 +650,13 @@ def feature_importances(t):
     return rounded(prepare.feature_importances(train, seed=SEED), ["Value"])
 
 
+@query()
+def select_important(t):
+    table = stored_labelled(t).select(CUSTOMER, *FEATURES, TARGET)
+    train, _ = sample.split_by_hash(table, TEST_SIZE, SEED)
+    return train.select(prepare.select_important(train, 0.0, 0.5, seed=SEED, iterations=20)).select(CUSTOMER, TARGET)
+
+
 def _scaled(c):
     x = f"CAST({c} AS DOUBLE)"
     train = f"FILTER (WHERE {_UNIT} >= {TEST_SIZE})"

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..schemas import CUSTOMER, TARGET
+from ..session import materialise
 from .sample import smallest_by_hash
 
 # Columns that are never looked at, and name parts of derived columns.
@@ -150,7 +151,8 @@ def remove_outliers(
     Decision: the outliers are removed and the rest is returned, as the step's purpose says.
     """
     names = examined_columns(train)
-    scored = outlier_scores(train, names, key, trees, seed)
+    # written, so that the threshold and the filter do not each run the scoring
+    scored = materialise(outlier_scores(train, names, key, trees, seed), "outlier_scores")
     cut = scored.agg(F.percentile_approx("outlier_score", 1.0 - contamination, 10000)).first()[0]
     if cut is None:
         return train

@@ -56,10 +56,7 @@ def prepare_sets(
     """Split, remove outliers, drop collinear and unimportant columns, scale."""
     stored = keep(labelled, "labelled")
     train, test = split_by_hash(stored, settings.test_size, settings.seed)
-    train = keep(
-        remove_outliers(train, settings.contamination, trees=settings.trees, seed=settings.seed),
-        "train",
-    )
+    train = remove_outliers(train, settings.contamination, trees=settings.trees, seed=settings.seed)
     columns = select_uncorrelated(train, settings.collinearity, settings.collinearity_method)
     columns = select_important(
         train.select(columns), settings.importance, settings.importance_share,
