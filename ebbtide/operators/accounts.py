@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import ACCOUNT, ACCOUNT_COLUMNS, CUSTOMER
 from .clean import drop_duplicates, parse_dates
+from .joins import match_keys
 from .profile import removal_audit
 
 # Text formats of the two dates.
@@ -41,8 +42,9 @@ def drop_shared_accounts(df: DataFrame) -> DataFrame:
         df.groupBy(ACCOUNT).agg(F.count_distinct(CUSTOMER).alias("holders"))
         .filter(F.col("holders") > 1).select(ACCOUNT)
     )
-    holders = df.join(shared, ACCOUNT, "left_semi").select(CUSTOMER).distinct()
-    return df.join(shared, ACCOUNT, "left_anti").join(holders, CUSTOMER, "left_anti").select(*df.columns)
+    holders = match_keys(df, shared, ACCOUNT, "left_semi").select(CUSTOMER).distinct()
+    unshared = match_keys(df, shared, ACCOUNT, "left_anti")
+    return match_keys(unshared, holders, CUSTOMER, "left_anti")
 
 
 def keep_one_product(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from ..functions import parse_date
-from .lookup import look_up, unique_lookup
+from .joins import look_up, unique_lookup
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:

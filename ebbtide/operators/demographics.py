@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .lookup import look_up, unique_lookup
+from .joins import look_up, unique_lookup
 
 # Birth years of the age groups, both ends included.
 AGE_GROUPS = {

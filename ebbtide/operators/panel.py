@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import month_start
 from ..schemas import ACCOUNT, BALANCE, CUSTOMER
 from .clean import numeric_columns, zero_fill
+from .joins import match_keys
 
 # Columns that identify a weekly row and are not summed.
 NOT_SUMMED = ["YEAR", "MONTH", "WEEK", "HASHED_CIF", "HASHED_AC", "CCY"]
@@ -20,7 +21,7 @@ def keep_currency(df: DataFrame, currency: str, mode: str = "rows") -> DataFrame
         return df.filter(F.col("CCY") == currency)
     if mode != "customers":
         raise ValueError(f"unknown mode {mode}")
-    return df.join(_customers_with_other_currency(df, currency), CUSTOMER, "left_anti").select(*df.columns)
+    return match_keys(df, _customers_with_other_currency(df, currency), CUSTOMER, "left_anti")
 
 
 def _customers_with_other_currency(df: DataFrame, currency: str) -> DataFrame:

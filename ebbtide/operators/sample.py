@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import hash_bucket, row_hash, unit_hash
 from ..schemas import CUSTOMER
+from .joins import match_keys
 
 
 def smallest_by_hash(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
@@ -42,7 +43,7 @@ def restrict_to_sample(tables: Mapping[str, DataFrame], customers: DataFrame) ->
 
     The list grows with the sample size asked for, so the join method is left to its size.
     """
-    return {name: df.join(customers, CUSTOMER, "left_semi") for name, df in tables.items()}
+    return {name: match_keys(df, customers, CUSTOMER, "left_semi") for name, df in tables.items()}
 
 
 def split_by_hash(

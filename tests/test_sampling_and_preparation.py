@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.operators import outliers, prepare, sample
+from ebbtide.operators import joins, outliers, prepare, sample
 from ebbtide.schemas import CUSTOMER, TARGET
 
 
@@ -28,6 +28,24 @@ def test_sample_restricts_every_table(spark, rows):
     assert tables["t"].columns == trx.columns
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_matching_a_hot_key(spark, rows, threshold):
+    """A third of the rows share a key; shuffled or broadcast, the answer is the same."""
+    df = spark.range(900, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 != 1, F.col("id").cast("string")).alias("k"), "id")
+    keys = spark.createDataFrame([("hot",), ("4",), ("nobody",), (None,)], "k string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        inside = joins.match_keys(df, keys, "k", "left_semi")
+        outside = joins.match_keys(df, keys, "k", "left_anti")
+        assert inside.columns == ["k", "id"]
+        assert sorted(r.id for r in inside.collect()) == sorted({*range(0, 900, 3), 4})
+        assert rows(inside.unionAll(outside)) == rows(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_split_is_a_stable_disjoint_cover(spark, rows):
     df = ids(spark, 2000).unionAll(spark.createDataFrame([(None,)], f"{CUSTOMER} string"))
     train, test = sample.split_by_hash(df, 0.25, 1)
