@@ -1,7 +1,8 @@
 """Bank-style input tables as views over the test tables.
 
 Each view is one SQL text that Spark and DuckDB both understand; names in braces are the tables
-and views it reads.
+and views it reads. All orders, lines and customers take part; conditions on keys put in what the
+operators are there to find: copies, nulls, other currencies, contradicting and missing dates.
 """
 
 from __future__ import annotations

@@ -370,7 +370,7 @@ def one_hot_columns(t):
     return demographics.fit_one_hot(df, list(ENCODED)).transform(df).drop(*ENCODED)
 
 
-@query(f"SELECT g.{ID}, CAST(x_AGE_GROUP.i = 0 AS DOUBLE) AS most_frequent, 1.0 AS total FROM {{grouped}} g "
+@query(f"SELECT g.{ID}, CAST(CAST(x_AGE_GROUP.i = 0 AS INT) AS DOUBLE) AS most_frequent, CAST(1 AS DOUBLE) AS total FROM {{grouped}} g "
        f"JOIN {_index_sql('AGE_GROUP')} ON x_AGE_GROUP.v = g.AGE_GROUP")
 def one_hot_vectors(t):
     from pyspark.ml.functions import vector_to_array
