@@ -5,12 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, packing, simhash, toxicity
+from . import exact_dedup, html_text, licenses, mixing, packing, quality, secrets, simhash, substring_dedup, toxicity
 from .common import ROW, read, stored_rows
 
 
+def _of_kind(found: Column, kind: str) -> Column:
+    return F.filter(found, lambda s: s["kind"] == kind)
+
+
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = F.col("found")
+    kinds = [rule.name for rule in secrets.BASE]
+    base = F.filter(found, lambda s: s["rank"] < len(kinds))
+    counts = [F.size(_of_kind(found, k)).cast("long").alias(f"n_{k}") for k in kinds]
+    return secrets.scan(read(spark, folder, "documents")).select(
+        "doc_id", *counts, F.sha2(F.encode(secrets.written(base), "UTF-8"), 256).alias("base_sha256"),
+        secrets.written(found).alias("spans"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = toxicity.fit(docs, read(spark, folder, "labels"))
@@ -18,11 +32,27 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(read(spark, folder, "documents"))
+    names = F.array_join(F.transform("licenses", lambda x: x["license"]), ",")
+    units = F.aggregate("licenses", F.lit(0).cast("long"), lambda n, x: n + x["units"])
+    best = F.coalesce(F.array_max(F.transform("licenses", lambda x: x["score"])), F.lit(0.0))
+    return found.select("doc_id", names.alias("licenses"), units.alias("n_units"), F.round(best, 6).alias("best_score"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan(read(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("n_copies")).alias("taken"))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(read(spark, folder, "documents")).drop("distance")
+
+
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.deduplicate(read(spark, folder, "documents"))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     near = simhash.near_groups(docs.withColumn(ROW, F.monotonically_increasing_id()))
@@ -39,9 +69,30 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(rows).drop(ROW)
 
 
+def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(read(spark, folder, "pages"))
+
+
 WORDS_SQL = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
+TEMPLATES_SQL = ", ".join(
+    f"('{name}', [{', '.join(map(repr, licenses.bigrams_of(text)))}])" for name, text in licenses.TEMPLATES.items())
+
 SQL = {
+    "op3_license_scan": rf"""
+WITH templates(license, own) AS (VALUES {TEMPLATES_SQL}),
+rows AS (SELECT row_number() OVER () AS i, doc_id, coalesce(text, '') AS text FROM documents),
+units AS (SELECT i, unnest(list_concat(string_split(text, chr(10)),
+                  [x for x in regexp_split_to_array(text, '\n[\x20\x09-\x0D]*\n') if contains(x, chr(10))])) AS unit FROM rows),
+words AS (SELECT i, [x for x in regexp_split_to_array(lower(regexp_replace(
+            unit, '(?im)^[^a-z0-9]*copyright\b[^\n]*$', '', 'g')), '[^a-z0-9]+') if x <> ''] AS w FROM units),
+pairs AS (SELECT i, list_distinct([w[k] || ' ' || w[k + 1] for k in range(1, len(w))]) AS own FROM words),
+scores AS (SELECT i, license, 2.0::DOUBLE * len(list_intersect(p.own, t.own)) / (len(p.own) + len(t.own)) AS score
+           FROM pairs p, templates t),
+found AS (SELECT i, license, count(*) AS n, max(score) AS score FROM scores WHERE score >= 0.8 GROUP BY ALL)
+SELECT doc_id, coalesce(string_agg(license, ',' ORDER BY license), '') AS licenses,
+       coalesce(sum(n), 0)::BIGINT AS n_units, round(coalesce(max(score), 0), 6) AS best_score
+FROM rows LEFT JOIN found USING (i) GROUP BY i, doc_id""",
     "op4_mixing": f"""
 WITH sizes AS (SELECT doc_id, source, {WORDS_SQL}::BIGINT AS size FROM documents),
 totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source),
@@ -70,7 +121,7 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    found = {name: f for name, f in globals().items() if name.startswith("op")}
+    found = {name: f for name, f in globals().items() if name.startswith("op") and "_" in name}
     return {**found, "pipeline": corpus_pipeline.run}
 
 

@@ -1,0 +1,77 @@
+import re
+from collections import Counter
+
+import numpy as np
+
+from ebbtide.llm import quality
+
+BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def plain(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(3)}
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)),
+            len(repeated), len(words) < 50 or 100 * len(repeated) > 50 * len(words))
+
+
+def test_base_counts(documents, odd_rows, prose):
+    rows = odd_rows + [(100 + i, prose(i, 37 * i)) for i in range(30)] + [
+        (200, "a a a a a a"), (201, "a b c a b c"), (202, "x y z\n" * 40 + "\r\n \n\n x y z"), (203, "#|" * 100),
+        (204, (prose(3, 400) + "\n") * 20), (205, " ".join(["one two three four"] * 3000))]
+    found = quality.judge(documents(rows)).collect()
+    got = sorted(((r.doc_id, *(r[c] for c in BASE)) for r in found), key=repr)
+    assert got == sorted(((i, *plain(t or "")) for i, t, *_ in rows), key=repr)
+    assert not any(r.kept for r in found if r.base_failed)
+    # too few rows to tell what is usual
+    assert all(r.kept for r in found if not r.base_failed)
+
+
+def test_no_rows(documents):
+    assert quality.judge(documents([])).count() == 0
+
+
+def test_outliers_of_a_group_go_and_the_rest_stays(documents, prose):
+    usual = [(i, prose(i, 200) + ".", "en", "a" if i % 3 else "b") for i in range(700)]
+    # signs after every word are usual in one language and odd in the other
+    signs = [(1000 + i, " ".join(w + "%%%" for w in prose(i, 200).split()), "xx", None) for i in range(300)]
+    odd = [(2000 + i, " ".join(w + "%%%" for w in prose(i, 200).split()), "en", "a") for i in range(60)]
+    found = {r.doc_id: r.kept for r in quality.judge(documents(usual + signs + odd)).collect()}
+    assert not any(found[i] for i, *_ in odd)
+    assert all(found[i] for i, *_ in usual + signs)
+
+
+def test_estimate_is_robust(spark):
+    """A quarter of far rows moves neither centre nor spread of the others."""
+    dice = np.random.default_rng(5)
+    size = len(quality.VECTOR)
+    clean = dice.normal(0, 1, (3000, size)) @ np.diag(np.arange(1, size + 1)) * 2
+    far = dice.normal(60, 1, (600, size))
+    rows = [(int(i), "p", *map(float, v)) for i, v in enumerate(np.vstack([clean, far]))]
+    frame = spark.createDataFrame(rows, f"doc_id long, part string, {', '.join(f'{v} double' for v in quality.VECTOR)}")
+    estimate = quality.start(frame)
+    for _ in range(quality.STEPS):
+        estimate = quality.concentrated(frame, estimate)
+    got = estimate.first()
+    assert np.allclose([got[f"m{i}"] for i in range(size)], 0, atol=1.5)
+    spread = np.sqrt([got[f"c{i}_{i}"] for i in range(size)])
+    assert np.allclose(spread, 2 * np.arange(1, size + 1), rtol=0.25)
+    measured = quality.distances(frame, estimate).collect()
+    bound = quality.chi_square(size, quality.BEYOND)
+    assert all((r.distance > bound) == (r.doc_id >= 3000) for r in measured)
+    # the factor gives the same distances as the matrix itself
+    matrix = np.zeros((size, size))
+    for i in range(size):
+        for j in range(i + 1):
+            matrix[i, j] = matrix[j, i] = got[f"c{i}_{j}"]
+    middle = np.array([got[f"m{i}"] for i in range(size)])
+    for r in measured[:50]:
+        gap = np.array([r[v] for v in quality.VECTOR]) - middle
+        assert np.isclose(r.distance, gap @ np.linalg.solve(matrix, gap))
+
+
+def test_chi_square():
+    assert abs(quality.chi_square(6, 0.05) - 12.592) < 0.05 and abs(quality._chi_square_below(6, 12.592) - 0.95) < 0.01

@@ -1,0 +1,74 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from ebbtide.llm import substring_dedup as dedup
+
+
+def plain(rows, window):
+    last = 1 << 63
+    split = [(last if i is None else i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t, *_ in rows]
+    first = {}
+    for place, words in split:
+        for a in range(len(words) - window + 1):
+            key = tuple(words[a : a + window])
+            first[key] = min(place, first.get(key, place))
+    out = []
+    for (i, *_), (place, words) in zip(rows, split):
+        gone = set()
+        for a in range(len(words) - window + 1):
+            if first[tuple(words[a : a + window])] < place:
+                gone.update(range(a, a + window))
+        left = " ".join(w for k, w in enumerate(words) if k not in gone)
+        out.append((i, len(words), len(gone), hashlib.sha256(left.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def corpus(prose, window):
+    """Prose with planted passages, copies, near copies and repetitions, lengths around the window."""
+    dice = random.Random(window)
+    passages = [prose(900 + i, window + k).split() for i, k in enumerate((-1, 0, 1, 7, 60, 200))]
+    rows = []
+    for i in range(120):
+        words = prose(i, dice.randint(0, 4 * window)).split()
+        for _ in range(dice.randint(0, 3)):
+            at = dice.randint(0, len(words))
+            words[at:at] = dice.choice(passages)
+        rows.append((dice.randint(0, 500), dice.choice([" ", "\n", " \t"]).join(words)))
+    rows += [(1000 + i, rows[i][1]) for i in range(20)]
+    rows += [(2000 + i, rows[5][1] + f" tail {i % 4}") for i in range(30)]
+    rows += [(3000, "same " * 300), (3001, "same " * 120), (2999, "a b c " * 80), (3002, "b c a " * 90), (None, rows[7][1]), (None, rows[7][1])]
+    return rows
+
+
+@pytest.mark.parametrize("window, crowded, block", [(50, 20_000, 1 << 21), (50, 5, 1 << 21), (50, 20_000, 300), (12, 20_000, 1000), (8, 3, 400)])
+def test_against_all_windows(documents, odd_rows, prose, monkeypatch, window, crowded, block):
+    monkeypatch.setattr(dedup, "BLOCK", block)
+    rows = odd_rows + corpus(prose, window)
+    found = dedup.deduplicate(documents(rows), window, crowded, texts=True).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found), key=repr) == plain(rows, window)
+    for r in found:
+        if r.n_removed:
+            assert hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256
+
+
+def test_no_rows_and_no_repeats(documents, prose):
+    assert dedup.deduplicate(documents([])).count() == 0
+    rows = [(i, prose(i, 100)) for i in range(4)]
+    assert [r.n_removed for r in dedup.deduplicate(documents(rows)).collect()] == [0] * 4
+
+
+def test_equal_windows_have_equal_prefixes(prose):
+    known = dedup.WordHashes()
+    passage = prose(1, 70).encode().split()
+    for left, right in ((0, 0), (3, 90), (200, 1)):
+        words = [*prose(2, left).encode().split(), *passage, *prose(3, right).encode().split()]
+        found = dedup.prefixes(words, known)
+        assert np.array_equal(found[left : left + 21], dedup.prefixes(passage, known))
+        assert len(found) == len(words) - 49
+    hashes = np.fromiter(map(known.__getitem__, passage), dtype=np.uint64)
+    grams = dedup._rolled(hashes, 8, dedup._ODD[0])
+    assert dedup.prefixes(passage, known).view(np.uint64).tolist() == [int(grams[a : a + 43].min()) for a in range(21)]
