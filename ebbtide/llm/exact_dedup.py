@@ -108,14 +108,14 @@ def exact_groups(rows: DataFrame) -> DataFrame:
     parts = chunks(named, "doc_id", "text_sha256").drop("chunk")
     prints = materialise(combine(parts, "doc_id", "text_sha256"), "fingerprints")
     key = ["f1", "f2", "n_bytes"]
-    apart = colliding(rows, prints).withColumn("apart", F.lit(True))
+    # stored, like the groups below, so that the join reads two plain shuffles, of which Spark can split a hot key
+    apart = materialise(colliding(rows, prints), "collisions").withColumn("apart", F.lit(True))
     prints = prints.join(apart, key, "left").withColumn(
         "told", F.when(F.col("apart"), F.col("text_sha256")).otherwise(F.lit(""))).drop("apart")
     prints = materialise(prints, "classes")
     key.append("told")
     groups = prints.groupBy(*key).agg(
         F.max(F.struct("doc_id", ROW)).alias("keep"), F.count("*").alias("group_size"))
-    # stored, so that the join below reads two plain shuffles, of which Spark can split a hot key
     groups = materialise(groups.filter("group_size > 1"), "groups")
     found = prints.join(groups, key, "left")
     return found.select(

@@ -21,7 +21,7 @@ from .common import SPACE, WORD, text_of
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\x0b\f\r"
 #: Statistics that are compared, each with the least spread that counts as one: below, groups are not told apart.
-VECTOR = {"symbols": 0.5, "word_length": 0.15, "repeats": 0.7, "duplicate_lines": 0.7, "capitals": 0.4, "marks": 0.4}
+VECTOR = {"symbols": 0.3, "word_length": 0.15, "repeats": 0.8, "duplicate_lines": 1.0, "capitals": 0.4, "marks": 0.4}
 #: Share of a group that an estimate rests on.
 CORE = 0.75
 STEPS = 3
