@@ -58,8 +58,16 @@ def with_account_counts(panel: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def with_demographics(panel: DataFrame, demographics: DataFrame) -> DataFrame:
-    """Add the customer attributes except the income."""
-    return panel.join(demographics.drop("AVG_INCOME"), CUSTOMER, "left")
+    """Add the customer attributes except the income; a customer listed twice counts once."""
+    return panel.join(one_per_customer(demographics).drop("AVG_INCOME"), CUSTOMER, "left")
+
+
+def one_per_customer(demographics: DataFrame) -> DataFrame:
+    """Of several rows of a customer the one created first, then the first by its other values."""
+    others = sorted(c for c in demographics.columns if c not in (CUSTOMER, "CIF_CREATE"))
+    first = [F.col("CIF_CREATE").asc_nulls_last()] if "CIF_CREATE" in demographics.columns else []
+    order = Window.partitionBy(CUSTOMER).orderBy(*first, *[F.col(f"`{c}`").asc_nulls_last() for c in others])
+    return demographics.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
 
 
 def with_trailing(df: DataFrame, trailing: DataFrame) -> DataFrame:

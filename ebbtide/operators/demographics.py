@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .joins import look_up, unique_lookup
 
@@ -22,7 +22,6 @@ CATEGORIES = [
     "CUSTOMER_SEGMENT", "PROVINCE_REGION", "MARITAL_GROUP", "COUNTRY_GROUP", "OCCUPATION_GROUP",
     "GENDER", "AGE_GROUP",
 ]
-MAX_CATEGORIES = 1000
 
 
 def bin_by_mapping(df: DataFrame, mapping: DataFrame, new_column: str, source: str) -> DataFrame:
@@ -67,31 +66,43 @@ def group_demographics(df: DataFrame, regions: DataFrame, occupations: DataFrame
     })
 
 
-def _categories(df: DataFrame, columns: list[str]) -> list[tuple[str, str]]:
+def _categories(df: DataFrame, columns: list[str], most: int) -> list[tuple[str, str]]:
     """The (column, value) pairs that occur, in column order, then value order, in one pass.
 
-    They are held by the driver; more than ``MAX_CATEGORIES`` is an error, not a cut.
+    They become columns of the schema and are held by the driver; a column with more than ``most`` is an
+    error, not a cut.
     """
     long = df.select([F.col(c).cast("string") for c in columns]).unpivot([], columns, "name", "value")
-    found = long.filter(F.col("value").isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {columns}")
+    found = long.filter(F.col("value").isNotNull()).distinct()
+    wide = [r["name"] for r in found.groupBy("name").count().filter(F.col("count") > most).collect()]
+    if wide:
+        raise ValueError(f"more than {most} categories in {', '.join(sorted(wide))}")
+    found = found.collect()
     pairs = sorted((columns.index(row["name"]), row["value"]) for row in found)
     return [(columns[position], value) for position, value in pairs]
 
 
 def category_index(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``<column>_index``, the most frequent value first; unseen and null values come last."""
-    _categories(df, columns)  # the indexer itself would collect any number of labels
-    indexer = StringIndexer(
-        inputCols=columns, outputCols=[f"{c}_index" for c in columns], handleInvalid="keep"
-    )
-    return indexer.fit(df).transform(df)
+    """``<column>_index``, the most frequent value first, then by value; nulls come after all values.
 
-
-def fit_category_vectors(df: DataFrame, columns: list[str]) -> PipelineModel:
-    """Index and one-hot stages with vector output ``<column>_encoded``."""
-    _categories(df, columns)
+    The index is a table of value counts, ranked and joined back: nothing is held by the driver. The
+    ranking puts one row per distinct value into one task, not the rows of ``df``.
+    """
+    for column in columns:
+        counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(
+            F.count("*").alias("_n"))
+        order = Window.orderBy(F.desc("_n"), F.col("_value").cast("string"))
+        index = counts.select("_value", (F.row_number().over(order) - 1).cast("double").alias(f"{column}_index"))
+        nulls = counts.agg(F.count("*").cast("double").alias(f"{column}_index")).select(
+            F.lit(None).cast(counts.schema["_value"].dataType).alias("_value"), f"{column}_index")
+        lookup = index.unionByName(nulls)
+        df = df.join(lookup, F.col(column).eqNullSafe(F.col("_value")), "left").drop("_value")
+    return df
+
+
+def fit_category_vectors(df: DataFrame, columns: list[str], most: int = 1000) -> PipelineModel:
+    """Index and one-hot stages with vector output ``<column>_encoded``; at most ``most`` values a column."""
+    _categories(df, columns, most)
     return Pipeline(stages=[
         StringIndexer(
             inputCols=columns, outputCols=[f"{c}_index" for c in columns], handleInvalid="keep"
@@ -116,6 +127,6 @@ class OneHot:
         })
 
 
-def fit_one_hot(df: DataFrame, columns: list[str]) -> OneHot:
-    """One 0/1 column for each category of the training table."""
-    return OneHot(tuple(_categories(df, columns)))
+def fit_one_hot(df: DataFrame, columns: list[str], most: int = 1000) -> OneHot:
+    """One 0/1 column for each category of the training table, at most ``most`` per column."""
+    return OneHot(tuple(_categories(df, columns, most)))

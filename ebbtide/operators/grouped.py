@@ -5,26 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-MAX_GROUP_ROWS = 100_000
-
 
 def apply_per_group(
     df: DataFrame,
     keys: list[str],
     function: Callable[[pd.DataFrame], pd.DataFrame],
     schema: StructType | str,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Call ``function`` on the rows of each group and put the results together.
 
-    A group is held by one Python process, so its size is looked up first, with counts combined
-    before the shuffle; a larger group is an error that asks for a window instead. A customer's
-    months are always few, which is what this is meant for.
+    A group is held by one Python process, whatever its size: whoever picks a function per group
+    vouches for groups that fit, as a customer's months do. Windows know no such bound.
     """
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest > max_group_rows:
-        raise ValueError(f"a group has {largest} rows, more than {max_group_rows}; use a window")
     return df.groupBy(*keys).applyInPandas(function, schema)

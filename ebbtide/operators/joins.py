@@ -31,16 +31,10 @@ def look_up(df: DataFrame, lookup: DataFrame, source: str, target: str) -> DataF
     return df.join(keyed, F.col(source) == F.col(key), "left").drop(key)
 
 
-SALTS = 16
-
-
 def match_keys(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
     """Rows whose ``key`` is (``left_semi``) or is not (``left_anti``) among distinct ``keys``.
 
-    Spark broadcasts the keys if they are small. If not, both sides are shuffled, and the rows of one
-    hot key would meet in one task; so each key stands there once per salt, and a row's salt comes
-    from the partition it is read in. The answer does not depend on the salt.
+    Spark broadcasts the keys if they are small. If not, both sides are shuffled, and adaptive execution
+    splits the rows of a hot key.
     """
-    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt")
-    salted = keys.select(key, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return df.select("*", salt).join(salted, [key, "salt"], how).select(*df.columns)
+    return df.join(keys.select(key), key, how).select(*df.columns)

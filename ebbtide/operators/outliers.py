@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..schemas import CUSTOMER, TARGET
 from ..session import materialise
-from .sample import smallest_by_hash
 
 # Columns that are never looked at, and name parts of derived columns.
 NOT_EXAMINED = [
@@ -79,28 +80,26 @@ def _numbers(names: Sequence[str]) -> list:
 
 def grow_forest(
     df: DataFrame, names: Sequence[str], key: str = CUSTOMER, trees: int = TREES, seed: int = 42,
-    rows: int | None = None,
+    rows: int | None = None, rows_per_tree: int = ROWS_PER_TREE,
 ) -> DataFrame:
     """All nodes of all trees, the trees grown in parallel.
 
-    Each tree sees 256 rows. They come from a pool of at most 256 rows per tree, drawn by hash from
-    the whole table, so neither the pool nor a tree's group grows with the table. ``rows`` is the
-    table's size if it is known.
+    Each tree sees ``rows_per_tree`` rows, those of the whole table with the smallest hashes of seed, tree
+    and key; every row can reach every tree, and a tree's group does not grow with the table. ``rows`` is
+    the table's size if it is known.
     """
-    size = trees * ROWS_PER_TREE
-    pool_rows = min(size, df.count() if rows is None else rows)
-    pool = smallest_by_hash(df.select(F.col(key), F.array(*_numbers(names)).alias("values")), key, size, seed)
-    draw = F.xxhash64(F.lit(seed), "tree", F.col(key))
-    # twice the rows a tree needs pass by chance, before anything is moved
-    share = 2 * ROWS_PER_TREE / max(pool_rows, 1)
+    size = df.count() if rows is None else rows
+    # twice the rows a tree needs, and some, pass by chance, before anything is moved
+    share = (2 * rows_per_tree + 100) / max(size, 1)
     highest = min(2**63 - 1, int(share * 2**63))
-    drawn = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("draw", F.shiftrightunsigned(draw, 1))
-        .filter(F.col("draw") <= highest)
-    )
-    order = Window.partitionBy("tree").orderBy("draw", key)
-    sample = drawn.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= ROWS_PER_TREE)
+
+    def draw(tree):
+        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), tree, F.col(key)), 1)
+
+    reached = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(tree) <= highest)
+    drawn = df.select(F.col(key), F.array(*_numbers(names)).alias("values"), F.explode(reached).alias("tree"))
+    order = Window.partitionBy("tree").orderBy(draw(F.col("tree")), key)
+    sample = drawn.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows_per_tree)
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         ordered = group.sort_values("place")
@@ -110,19 +109,19 @@ def grow_forest(
 
 
 def outlier_scores(
-    df: DataFrame, names: Sequence[str], key: str = CUSTOMER, trees: int = TREES, seed: int = 42
+    df: DataFrame, names: Sequence[str], key: str = CUSTOMER, trees: int = TREES, seed: int = 42,
+    rows_per_tree: int = ROWS_PER_TREE,
 ) -> DataFrame:
     """Add ``outlier_score`` between 0 and 1, high for rows that few cuts set apart."""
     rows = df.count()
-    # at most 511 nodes per tree, whatever the size of the table
-    nodes = grow_forest(df, names, key, trees, seed, rows).toPandas().sort_values(["tree", "node"])
+    # fewer than two nodes per row of a tree, whatever the size of the table
+    nodes = grow_forest(df, names, key, trees, seed, rows, rows_per_tree).toPandas().sort_values(["tree", "node"])
     forest = [
         {c: group[c].to_numpy() for c in ("feature", "threshold", "left_child", "right_child", "length")}
         for _, group in nodes.groupby("tree")
     ]
-    drawn = min(ROWS_PER_TREE, rows)
+    drawn = min(rows_per_tree, rows)
     scale = max(float(_average_path(drawn)), 1.0) * max(len(forest), 1)
-    shared = df.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -130,7 +129,7 @@ def outlier_scores(
             matrix = np.stack(batch.to_numpy())
             at_row = np.arange(len(matrix))
             total = np.zeros(len(matrix))
-            for tree in shared.value:
+            for tree in forest:
                 node = np.zeros(len(matrix), dtype=np.int64)
                 while (inner := tree["feature"][node] >= 0).any():
                     feature = np.where(inner, tree["feature"][node], 0)
@@ -157,3 +156,7 @@ def remove_outliers(
     if cut is None:
         return train
     return scored.filter(F.col("outlier_score") <= cut).drop("outlier_score")
+
+
+# workers get these functions by value and need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

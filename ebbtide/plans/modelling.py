@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.outliers import remove_outliers
 from ..operators.prepare import (
-    NOT_CORRELATED, feature_names, fit_scaling, select_important, select_uncorrelated, split_ids,
+    NOT_CORRELATED, feature_names, fill_missing, fit_scaling, select_important, select_uncorrelated, split_ids,
 )
 from ..operators.sample import split_by_hash
 from ..operators.training import TrainedModels, score, select_best, train_candidates
@@ -45,8 +45,8 @@ class PreparedSets:
     scaling: object
 
     def prepare_new(self, df: DataFrame) -> DataFrame:
-        """New data, scaled like the training set."""
-        return self.scaling.transform(df)
+        """New data, nulls filled and scaled like the training set."""
+        return self.scaling.transform(fill_missing(df, self.columns))
 
 
 def prepare_sets(
@@ -65,6 +65,7 @@ def prepare_sets(
     )
     train, test = (drop_present(df.select(columns), NOT_CORRELATED) for df in (train, test))
     names = feature_names(train)
+    train, test = (fill_missing(df, names) for df in (train, test))
     scaling = fit_scaling(train, names)
     return PreparedSets(scaling.transform(train), scaling.transform(test), names, scaling)
 
@@ -75,7 +76,11 @@ def train_and_score(
     """Candidates, the chosen model, and its predictions for both sets."""
     _, features = split_ids(sets.train)
     trained = train_candidates(features, choices=choices, **options)
-    model = trained.models[select_best(trained.leaderboard, user_metric).first().model]
+    best = select_best(trained.leaderboard, user_metric).first()
+    if best is None:
+        known = sorted(r.metric for r in trained.leaderboard.select("metric").distinct().collect())
+        raise ValueError(f"no metric {user_metric!r}; there are {', '.join(known)}")
+    model = trained.models[best.model]
     return (
         trained, model, score(model, sets.train, sets.columns), score(model, sets.test, sets.columns)
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.clean import drop_present
 from ..operators.evaluate import classification_metrics, monitoring_table
-from ..operators.prepare import Scaling
+from ..operators.prepare import Scaling, fill_missing
 from ..operators.training import score
 from ..schemas import TARGET
 
@@ -20,7 +20,7 @@ def score_new_data(
     The columns are aligned with the stored ones, and scaled with the training set's statistics.
     """
     known = features if monitoring else drop_present(features, [TARGET])
-    return score(model, scaling.transform(known), columns)
+    return score(model, scaling.transform(fill_missing(known, columns)), columns)
 
 
 def monitor(scored: DataFrame, leaderboard: DataFrame, model: str) -> DataFrame:

@@ -69,7 +69,7 @@ def scan_months(
     """Delimited files with a header line in folders ``<root>/YYYY_MM``, read as one table.
 
     Only the folders of the window are opened. A missing month is an error, unless
-    ``ignore_missing`` is set.
+    ``ignore_missing`` is set, and so is a header that does not name the columns of the schema in order.
     """
     span = (last.year - first.year) * 12 + last.month - first.month + 1
     wanted = [_shift(first, step).strftime("%Y_%m") for step in range(span)]
@@ -81,4 +81,4 @@ def scan_months(
     paths = [f"{root}/{name}" for name in wanted if name in present]
     if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("header", True).csv(paths)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(paths)

@@ -14,8 +14,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
-    """Delimited files with a header line and declared types."""
-    return spark.read.schema(schema).option("header", True).csv(paths)
+    """Delimited files with a header line and declared types.
+
+    A header whose names differ from the schema, or stand in another order, is an error: columns are
+    never read by position alone.
+    """
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(paths)
 
 
 def write_table(df: DataFrame, path: str | None, name: str, csv: bool = False) -> str | None:

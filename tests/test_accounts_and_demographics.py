@@ -112,9 +112,15 @@ def test_one_hot_of_unseen_values(spark):
 
 
 def test_too_many_categories_is_an_error(spark):
-    df = spark.range(demographics.MAX_CATEGORIES + 1).select(F.col("id").cast("string").alias("a"))
-    with pytest.raises(ValueError, match="categories"):
-        demographics.fit_one_hot(df, ["a"])
+    df = spark.range(6).select(F.col("id").cast("string").alias("a"), F.lit("x").alias("b"))
+    assert len(demographics.fit_one_hot(df, ["a", "b"], most=6).categories) == 7
+    with pytest.raises(ValueError, match="5 categories in a"):
+        demographics.fit_one_hot(df, ["a", "b"], most=5)
+
+
+def test_category_index_has_no_bound(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("a"))
+    assert demographics.category_index(df, ["a"]).agg(F.max("a_index")).first()[0] == 2999
 
 
 def test_category_index_orders_by_frequency(spark):

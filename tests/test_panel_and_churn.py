@@ -171,7 +171,7 @@ def test_label_ignores_the_past(spark):
     assert a == b
 
 
-def test_per_group_function_and_its_bound(spark):
+def test_per_group_function(spark):
     def total(pdf):
         return pd.DataFrame({CUSTOMER: [pdf[CUSTOMER].iloc[0]], "n": [pdf.NO_TRANSATION.sum()]})
 
@@ -179,11 +179,17 @@ def test_per_group_function_and_its_bound(spark):
     schema = f"{CUSTOMER} string, n long"
     got = grouped.apply_per_group(df, [CUSTOMER], total, schema)
     assert sorted(map(tuple, got.collect())) == [("x", 6), ("y", 5)]
-    with pytest.raises(ValueError, match="3 rows"):
-        grouped.apply_per_group(df, [CUSTOMER], total, schema, max_group_rows=2)
     assert grouped.apply_per_group(df.limit(0), [CUSTOMER], total, schema).count() == 0
 
 
+def test_a_customer_listed_twice_stays_one_row(spark):
+    listed = spark.createDataFrame(
+        [("x", "2001-02-01", "b", 1.0), ("x", "2001-01-01", "c", 2.0), ("x", "2001-01-01", "a", 3.0), ("y", None, "d", 4.0)],
+        f"{CUSTOMER} string, CIF_CREATE string, GENDER string, AVG_INCOME double")
+    joined = churn.with_demographics(series(spark, [1]).unionAll(series(spark, [2], "y")), listed)
+    assert sorted((r[CUSTOMER], r.GENDER) for r in joined.collect()) == [("x", "c"), ("y", "d")]
+
+
 def measured(spark):
     random.seed(11)
     rows = []
