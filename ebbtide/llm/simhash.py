@@ -33,8 +33,8 @@ RADIUS = 4
 SEED = 42
 #: Variants that a task makes at once, and that a partition is planned for.
 BLOCK = 1 << 21
-#: Rows with the same leading bits beyond which their variants are shuffled one by one.
-HOT = 50_000
+#: Variants under the same leading bits beyond which they are shuffled one by one: a task holds no more at once.
+HOT = 4 * BLOCK
 
 
 def fingerprint(text: str, n: int = WORDS) -> int:
@@ -146,8 +146,12 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     lead = min(40, max(8, math.ceil(math.log2(max(n, 2))) - 4))
     top = F.shiftrightunsigned("fingerprint", 64 - lead)
     spread = distinct.select("fingerprint", F.explode(_variants(top, lead, half)).alias("prefix"))
-    counts = spread.groupBy("prefix").count().filter(F.col("count") > HOT).select("prefix")
-    hot = materialise(counts, "hot")
+    # variants of the remaining bits that a row makes, by what its leading bits have spent
+    widths = F.array(*[F.lit(sum(math.comb(64 - lead, k) for k in range(half - used + 1))).cast("long")
+                       for used in range(half + 1)])
+    spent = F.bit_count(F.col("prefix").bitwiseXOR(top))
+    made = spread.groupBy("prefix").agg(F.sum(F.get(widths, spent)).alias("made"))
+    hot = materialise(made.filter(F.col("made") > HOT).select("prefix"), "hot")
     total = n * sum(math.comb(64, k) for k in range(half + 1))
     parts = max(1, math.ceil(total / (2 * BLOCK)))
     cold = spread.join(hot, "prefix", "left_anti").repartition(parts, "prefix")
