@@ -4,10 +4,12 @@ from .months import (
     in_window, latest_period, latest_period_of_names, list_folders, observation_bounds,
     observation_window, scan_months,
 )
-from .tables import read_csv, read_table, sample_or_stored, write_table
+from .tables import (
+    read_csv, read_csv_text, read_table, sample_or_stored, unparsable_report, write_table,
+)
 
 __all__ = [
     "in_window", "latest_period", "latest_period_of_names", "list_folders", "observation_bounds",
-    "observation_window", "read_csv", "read_table", "sample_or_stored", "scan_months",
-    "write_table",
+    "observation_window", "read_csv", "read_csv_text", "read_table", "sample_or_stored",
+    "scan_months", "unparsable_report", "write_table",
 ]

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from .tables import read_csv
+
 FOLDER_NAME = r"^20\d{2}_\d{2}$"
 
 
@@ -65,11 +67,13 @@ def scan_months(
     first: dt.date,
     last: dt.date,
     ignore_missing: bool = False,
+    translation: DataFrame | None = None,
 ) -> DataFrame:
     """Delimited files with a header line in folders ``<root>/YYYY_MM``, read as one table.
 
     Only the folders of the window are opened. A missing month is an error, unless
-    ``ignore_missing`` is set, and so is a header that does not name the columns of the schema in order.
+    ``ignore_missing`` is set, and so is a header that does not name the columns of the schema. Each month
+    may have an order of its own.
     """
     span = (last.year - first.year) * 12 + last.month - first.month + 1
     wanted = [_shift(first, step).strftime("%Y_%m") for step in range(span)]
@@ -81,4 +85,4 @@ def scan_months(
     paths = [f"{root}/{name}" for name in wanted if name in present]
     if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(paths)
+    return read_csv(spark, paths, schema, translation)

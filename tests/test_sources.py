@@ -1,7 +1,9 @@
 import datetime as dt
 import os
+from decimal import Decimal
 
 import pytest
+from pyspark.sql.types import StructType
 
 from ebbtide import sources
 from ebbtide.schemas import RAW_TRANSACTION
@@ -54,6 +56,48 @@ def test_scan_months(spark, tmp_path):
     assert none.count() == 0 and none.schema == RAW_TRANSACTION
 
 
+def _files(folder, **texts):
+    folder.mkdir(exist_ok=True)
+    for name, text in texts.items():
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
+
+
+SMALL = StructType().add("id", "string").add("n", "integer").add("amount", "decimal(18,2)")
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path, rows):
+    one = _files(tmp_path / "one", a="n,id,amount\n1,x,2.50\n", b="n,id,amount\n,y,\n")
+    two = _files(tmp_path / "two", a="so tien,id,n\n3.00,z,2\n")
+    mapping = spark.createDataFrame([("so tien", "amount"), ("khac", "other")], "VN string, EN string")
+    got = sources.read_csv(spark, [one, two], SMALL, mapping)
+    assert got.schema == SMALL
+    assert rows(got) == [("x", 1, Decimal("2.50")), ("y", None, None), ("z", 2, Decimal("3.00"))]
+
+
+@pytest.mark.parametrize("header", ["id,n", "id,n,amount,more", "id,n,n", "id,n,total"])
+def test_csv_with_other_columns_is_an_error(spark, tmp_path, header):
+    path = _files(tmp_path / "t", a=header + "\n")
+    with pytest.raises(ValueError, match="header of"):
+        sources.read_csv(spark, path, SMALL)
+
+
+def test_csv_files_of_one_folder_must_agree(spark, tmp_path):
+    path = _files(tmp_path / "t", a="id,n,amount\nx,1,1\n", b="n,id,amount\n1,y,1\n")
+    with pytest.raises(Exception, match="header"):
+        sources.read_csv(spark, path, SMALL).collect()
+
+
+def test_unparsable_fields(spark, tmp_path, rows):
+    path = _files(tmp_path / "t", a="id,n,amount\nx,one,1\ny,2,\nz,two,1.2.3\n")
+    with pytest.raises(Exception, match="not a value of n: (one|two)"):
+        sources.read_csv(spark, path, SMALL).collect()
+    lenient = sources.read_csv(spark, path, SMALL, strict=False)
+    assert rows(lenient, "id", "n") == [("x", None), ("y", 2), ("z", None)]
+    text = sources.read_csv_text(spark, path, SMALL)
+    assert rows(sources.unparsable_report(text, SMALL)) == [("amount", 1), ("n", 2)]
+
+
 def test_write_table(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, "a"), (2, None)], "n int, s string")
     for csv in (False, True):
