@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import ACCOUNT, ACCOUNT_COLUMNS, CUSTOMER
+from ..session import materialise
 from .clean import drop_duplicates, parse_dates
 from .joins import match_keys
 from .profile import removal_audit
@@ -99,16 +102,28 @@ def clean_account_events(raw: DataFrame) -> DataFrame:
     return parse_dates(drop_duplicates(raw), DATE_PATTERNS).select(*ACCOUNT_COLUMNS)
 
 
-def account_steps(events: DataFrame) -> dict[str, DataFrame]:
-    """The table after every step, in order."""
-    steps = {"input": events}
-    steps["status_before_creation"] = drop_status_before_creation(events)
-    steps["several_creation_dates"] = keep_earliest_creation(steps["status_before_creation"])
-    steps["shared_accounts"] = drop_shared_accounts(steps["several_creation_dates"])
-    steps["several_products"] = keep_one_product(steps["shared_accounts"])
-    steps["one_row_per_account"] = account_dates(steps["several_products"])
-    steps["active_after_closed"] = drop_active_after_closed(steps["one_row_per_account"])
-    steps["active_filled"] = fill_active(steps["active_after_closed"])
+STEPS = {
+    "status_before_creation": drop_status_before_creation,
+    "several_creation_dates": keep_earliest_creation,
+    "shared_accounts": drop_shared_accounts,
+    "several_products": keep_one_product,
+    "one_row_per_account": account_dates,
+    "active_after_closed": drop_active_after_closed,
+    "active_filled": fill_active,
+}
+#: Read three times by the step after it.
+STORED = ("several_creation_dates",)
+
+
+def account_steps(
+    events: DataFrame, stored: tuple[str, ...] = STORED, keep: Callable[[DataFrame, str], DataFrame] = materialise
+) -> dict[str, DataFrame]:
+    """The table after every step, in order; those named in ``stored`` are written once."""
+    df = keep(events, "input") if "input" in stored else events
+    steps = {"input": df}
+    for name, step in STEPS.items():
+        df = step(df)
+        steps[name] = df = keep(df, name) if name in stored else df
     return steps
 
 
@@ -118,5 +133,5 @@ def transform_accounts(events: DataFrame) -> DataFrame:
 
 
 def account_audit(events: DataFrame) -> DataFrame:
-    """What each removal step took away."""
-    return removal_audit(account_steps(events))
+    """What each removal step took away. Every step is stored, so no step is computed twice."""
+    return removal_audit(account_steps(events, ("input", *STEPS)))

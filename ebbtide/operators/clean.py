@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from ..functions import parse_date
+from ..schemas import ACCOUNT, CUSTOMER
 from .joins import look_up, unique_lookup
 
 
@@ -41,8 +42,13 @@ def translate_columns(df: DataFrame, mapping: DataFrame) -> DataFrame:
     return df.select([F.col(f"`{c}`").alias(renamed.get(c, c)) for c in df.columns])
 
 
-def translate_values(df: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Replace string values that the mapping lists as ``VN`` by its ``EN``.
+# Text columns that hold ids and dates, and so nothing to translate.
+NOT_TRANSLATED = [CUSTOMER, ACCOUNT, "CIF_CREATE", "DATE_OF_STATUS", "AC_CREATE"]
+
+
+def translate_values(df: DataFrame, mapping: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Replace string values that the mapping lists as ``VN`` by its ``EN``, in ``columns`` or in all text columns
+    but ids and dates.
 
     Decision: a value is translated as a whole, never a part of it. The transaction table, known
     by its ``AMOUNT_TRANSACTION``, holds no text to translate and is returned as it is.
@@ -51,6 +57,7 @@ def translate_values(df: DataFrame, mapping: DataFrame) -> DataFrame:
         return df
     lookup = unique_lookup(mapping, "VN", "EN")
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    texts = [c for c in texts if (c not in NOT_TRANSLATED if columns is None else c in columns)]
     out = df
     for name in texts:
         out = look_up(out, lookup, name, f"{name}__translated")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import human_format
-from ..schemas import ACCOUNT, CUSTOMER
+from ..schemas import ACCOUNT, CUSTOMER, PREDICTED, TARGET
 
 
 def missing_report(df: DataFrame) -> DataFrame:
@@ -32,8 +32,7 @@ def missing_report(df: DataFrame) -> DataFrame:
 def flag_distribution(df: DataFrame, column: str, name: str) -> DataFrame:
     """Count and share of each value. Null rows count in the total but get no row."""
     counts = df.groupBy(column).agg(F.count("*").alias("actualCount"))
-    # one row per distinct value from here on
-    total = F.sum("actualCount").over(Window.partitionBy())
+    total = df.agg(F.count("*")).scalar()
     share = F.round(F.col("actualCount") / total * 100, 1)
     return (
         counts.withColumn("percentage", F.concat(share.cast("string"), F.lit(" %")))
@@ -68,6 +67,19 @@ def table_profile(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+def stage_report(df: DataFrame, name: str) -> dict[str, DataFrame]:
+    """What is looked at when a stage ends: ``profile``, ``missing``, and ``flags`` where the table has the label
+    or its prediction, with the values of both as text."""
+    report = {"profile": table_profile(df, name), "missing": missing_report(df)}
+    flags = None
+    for flag in (c for c in (TARGET, PREDICTED) if c in df.columns):
+        part = flag_distribution(df, flag, name).select(
+            "file_name", F.lit(flag).alias("flag"), F.col(flag).cast("string").alias("value"),
+            "abbrCount", "percentage", "actualCount")
+        flags = part if flags is None else flags.unionByName(part)
+    return report if flags is None else {**report, "flags": flags}
+
+
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """The combinations of values that occur."""
     return df.select(*columns).distinct()

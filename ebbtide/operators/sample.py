@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import hash_bucket, row_hash, unit_hash
 from ..schemas import CUSTOMER
+from ..session import materialise
 from .joins import match_keys
 
 
@@ -35,7 +36,8 @@ def smallest_by_hash(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 
 def sample_customers(transactions: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """``n`` customers, always the same ones for one seed."""
-    return smallest_by_hash(transactions.select(CUSTOMER).distinct(), CUSTOMER, n, seed)
+    customers = materialise(transactions.select(CUSTOMER).distinct(), "customers")  # read twice
+    return smallest_by_hash(customers, CUSTOMER, n, seed)
 
 
 def restrict_to_sample(tables: Mapping[str, DataFrame], customers: DataFrame) -> dict[str, DataFrame]:
