@@ -6,16 +6,20 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.demographics import OneHot
 from ..operators.outliers import remove_outliers
 from ..operators.prepare import (
-    NOT_CORRELATED, feature_names, fill_missing, fit_scaling, select_important, select_uncorrelated, split_ids,
+    NOT_CORRELATED, Scaling, feature_names, fill_missing, fit_scaling, select_important, select_uncorrelated, split_ids,
 )
 from ..operators.sample import split_by_hash
-from ..operators.training import TrainedModels, score, select_best, train_candidates
+from ..operators.training import (
+    TrainedModels, load_model, save_model, score, select_best, train_candidates,
+)
 from ..operators.clean import drop_present
 from ..session import materialise
+from ..sources import read_table, write_table
 
 
 @dataclass(frozen=True)
@@ -42,7 +46,7 @@ class PreparedSets:
     train: DataFrame
     test: DataFrame
     columns: list[str]
-    scaling: object
+    scaling: Scaling
 
     def prepare_new(self, df: DataFrame) -> DataFrame:
         """New data, nulls filled and scaled like the training set."""
@@ -84,3 +88,46 @@ def train_and_score(
     return (
         trained, model, score(model, sets.train, sets.columns), score(model, sets.test, sets.columns)
     )
+
+
+@dataclass(frozen=True)
+class StoredRun:
+    """Everything that scoring and monitoring need, as read back from one folder."""
+
+    model: PipelineModel
+    columns: list[str]
+    tags: dict[str, str]
+    scaling: Scaling
+    encoder: OneHot
+    leaderboard: DataFrame
+
+
+def save_run(
+    spark: SparkSession, path: str, model: PipelineModel, name: str, sets: PreparedSets, encoder: OneHot,
+    leaderboard: DataFrame, tags: Mapping[str, str] | None = None,
+) -> None:
+    """Store the model with its columns, tags, scaling, categories, and the scores of the candidate ``name``."""
+    save_model(spark, model, f"{path}/model", sets.columns, {**(tags or {}), "model": name})
+    scaling = [(i, c, sets.scaling.mean[c], sets.scaling.deviation[c]) for i, c in enumerate(sets.columns)]
+    tables = {
+        "scaling": spark.createDataFrame(scaling, "position int, name string, mean double, deviation double"),
+        "categories": spark.createDataFrame(
+            [(i, c, v) for i, (c, v) in enumerate(encoder.categories)], "position int, name string, value string"),
+        "leaderboard": leaderboard.filter(leaderboard["model"] == name),
+    }
+    for table, df in tables.items():
+        write_table(df, path, table)
+
+
+def load_run(spark: SparkSession, path: str) -> StoredRun:
+    """A run that ``save_run`` stored, in this session or another."""
+    model, columns, tags = load_model(spark, f"{path}/model")
+    # one row per feature or category: as wide as the schema
+    scaling = read_table(spark, f"{path}/scaling.parquet").orderBy("position").collect()
+    categories = read_table(spark, f"{path}/categories.parquet").orderBy("position").collect()
+    return StoredRun(
+        model, columns, tags,
+        Scaling({r["name"]: r["mean"] for r in scaling}, {r["name"]: r["deviation"] for r in scaling}),
+        OneHot(tuple((r["name"], r["value"]) for r in categories)),
+        read_table(spark, f"{path}/leaderboard.parquet"),
+    )

@@ -13,6 +13,7 @@ from ..operators.churn import churn_label, merge_tables, with_churn_label
 from ..operators.clean import drop_duplicates, parse_dates, translate
 from ..operators.demographics import CATEGORIES, OneHot, fit_one_hot, group_demographics
 from ..operators.panel import monthly_panel
+from ..operators.sample import split_by_hash
 from ..operators.trailing import trailing_features
 from ..session import materialise
 from ..sources import observation_bounds
@@ -93,15 +94,18 @@ def feature_table(
     one_hot: OneHot | None = None,
     trailing_columns: Sequence[str] | None = None,
     keep: Keep = materialise,
+    test_size: float = 0.2,
+    seed: int = 42,
 ) -> tuple[DataFrame, OneHot]:
     """One row per customer of the observation month: panel, accounts, demographics, trailing features.
 
     The label is joined where its look-ahead months are part of the window. The panel and the
     demographics have several readers and are written once. Without ``one_hot`` the categories are
-    taken from this table; new data gets those of the training run.
+    those of the customers that ``test_size`` and ``seed`` put into the training set, which must be those of
+    the split that follows; new data gets the categories of the training run.
     """
     demographics = keep(transform_demographics(tables), "demographics")
-    encoder = one_hot or fit_one_hot(demographics, CATEGORIES)
+    encoder = one_hot or fit_one_hot(split_by_hash(demographics, test_size, seed)[0], CATEGORIES)
     panel = keep(transform_transactions(tables, demographics, observation), "panel")
     trailing = trailing_features(
         panel, observation.year, observation.month, observation.historical_months,

@@ -74,3 +74,20 @@ def test_distinct_counts(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "b")], "n int, s string")
     assert tuple(profile.distinct_counts(df, ["n", "s"]).first()) == (3, 1, 2)
     assert profile.distinct_values(df, ["n"]).count() == 2
+
+
+def test_values_of_listed_columns_are_translated(spark, rows):
+    df = spark.createDataFrame([("NAM", "NAM", "NAM")], "HASHED_CIF string, GENDER string, NOTE string")
+    mapping = spark.createDataFrame([("NAM", "MALE")], "VN string, EN string")
+    assert rows(clean.translate_values(df, mapping)) == [("NAM", "MALE", "MALE")]
+    assert rows(clean.translate_values(df, mapping, ["NOTE"])) == [("NAM", "NAM", "MALE")]
+
+
+def test_stage_report(spark, rows):
+    df = spark.createDataFrame([("a", 1, 0), ("b", None, 0)], "HASHED_CIF string, churn_flag int, churn_flag_predicted int")
+    report = profile.stage_report(df, "t")
+    assert rows(report["flags"], "flag", "value", "actualCount") == [("churn_flag", "1", 1), ("churn_flag_predicted", "0", 2)]
+    assert rows(report["missing"]) == [("churn_flag", 1, 50.0)]
+    assert report["profile"].first().TotalRows == 2
+    assert "flags" not in profile.stage_report(df.select("HASHED_CIF"), "t")
+    assert rows(profile.stage_report(df.limit(0), "t")["flags"]) == []

@@ -2,12 +2,13 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from checks.fixtures import Inputs
-from checks.queries import FEW, tables
-from ebbtide.operators.training import load_model, save_model
-from ebbtide.plans import modelling, monitoring, training_set
+from checks.queries import tables
+from ebbtide.operators import accounts
+from ebbtide.plans import fetch, modelling, monitoring, training_set
 from ebbtide.schemas import CUSTOMER, TARGET
 
 FOLDER = "/root/testdata/sf0.001"
+FEW = ["NO_TRANSATION", "PRE_CLS_BAL"]  # the queries use all columns
 
 
 def test_from_raw_tables_to_monitoring(spark, tmp_path):
@@ -29,23 +30,69 @@ def test_from_raw_tables_to_monitoring(spark, tmp_path):
     trained, model, train_scores, test_scores = modelling.train_and_score(sets, choices=choices, folds=2)
     assert train_scores.count() == sets.train.count() and test_scores.count() == sets.test.count()
 
-    save_model(spark, model, str(tmp_path / "m"), sets.columns, {})
-    model, columns, _ = load_model(spark, str(tmp_path / "m"))
+    path = str(tmp_path / "run")
+    modelling.save_run(spark, path, model, "linear", sets, encoder, trained.leaderboard, {"month": "5"})
+    run = modelling.load_run(spark, path)
+    assert run.columns == sets.columns and run.encoder == encoder and run.scaling == sets.scaling
+    assert run.tags == {"month": "5", "model": "linear"}
     june = training_set.Observation(2001, 6, new_data=True, monitoring=True)
-    new, same = training_set.feature_table(raw, june, encoder, FEW)
-    assert same is encoder
-    scored = monitoring.score_new_data(model, columns, sets.scaling, new, monitoring=True)
+    new, same = training_set.feature_table(raw, june, run.encoder, FEW)
+    assert same is run.encoder
+    scored = monitoring.score_new_data(path, new, monitoring=True)
     assert scored.count() == new.count()
-    table = monitoring.monitor(scored, trained.leaderboard, "linear").collect()
+    table = monitoring.monitor(scored, path).collect()
     assert {"accuracy", "f1_score_macro", "norm_macro_recall"} <= {r.metrics for r in table}
 
     july = training_set.Observation(2001, 7, new_data=True)
-    unlabelled, _ = training_set.feature_table(raw, july, encoder, FEW)
+    unlabelled, _ = training_set.feature_table(raw, july, run.encoder, FEW)
     assert TARGET not in unlabelled.columns
-    blind = monitoring.score_new_data(model, columns, sets.scaling, unlabelled, monitoring=False)
+    blind = monitoring.score_new_data(path, unlabelled, monitoring=False)
     assert TARGET not in blind.columns and blind.count() == unlabelled.count()
 
 
+def test_stored_model_gives_the_same_scores(spark, tmp_path):
+    rows = [(str(i), float(i % 7), float(i % 3), i % 2) for i in range(60)]
+    train = spark.createDataFrame(rows, f"{CUSTOMER} string, a double, b double, {TARGET} int")
+    scaling = modelling.fit_scaling(train, ["a", "b"])
+    sets = modelling.PreparedSets(scaling.transform(train), scaling.transform(train), ["a", "b"], scaling)
+    choices = {"linear": (LogisticRegression(labelCol=TARGET, regParam=0.1), [{}])}
+    trained, model, _, before = modelling.train_and_score(sets, choices=choices)
+    encoder = training_set.OneHot((("x", "1"), ("x", "é;")))
+    modelling.save_run(spark, str(tmp_path), model, "linear", sets, encoder, trained.leaderboard)
+    assert modelling.load_run(spark, str(tmp_path)).encoder == encoder
+    after = monitoring.score_new_data(str(tmp_path), train, monitoring=True)
+    assert sorted(after.collect()) == sorted(before.collect())
+
+
+def test_newest_month(spark, tmp_path):
+    for name in ("2021_12", "2022_04", "2022_4", "old"):
+        (tmp_path / name).mkdir()
+    moved = fetch.newest(spark, fetch.RawFolders(str(tmp_path), "", ""), training_set.Observation(2000, 1, 3))
+    assert moved == training_set.Observation(2022, 4, 3)
+
+
+def test_categories_are_those_of_the_training_customers(spark):
+    raw = tables(Inputs(spark, FOLDER))
+    customers = training_set.transform_demographics(raw)
+    train, _ = training_set.split_by_hash(customers, 0.97, 42)
+    _, encoder = training_set.feature_table(raw, training_set.Observation(2001, 5), trailing_columns=FEW, test_size=0.97)
+    seen = {r[0] for r in train.select("OCCUPATION_GROUP").distinct().collect()}
+    assert {v for c, v in encoder.categories if c == "OCCUPATION_GROUP"} == seen
+
+
+def test_accounts_are_scanned_once(spark):
+    raw = Inputs(spark, FOLDER).raw_account
+    read = []
+
+    def keep(df, name):
+        read.append(df._jdf.queryExecution().optimizedPlan().toString().count("Relation"))
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    steps = accounts.account_steps(accounts.clean_account_events(raw), keep=keep)
+    last = steps["active_filled"]._jdf.queryExecution().optimizedPlan().toString()
+    assert read == [1] and "Relation" not in last
+
+
 def test_window_condition_reaches_the_scan(spark):
     raw = Inputs(spark, FOLDER).raw_transaction
     df = training_set.transactions_in_window(raw, training_set.Observation(2001, 1)).select(CUSTOMER)
