@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType
 
@@ -18,7 +17,7 @@ from ebbtide.operators import (
     accounts, churn, clean, demographics, evaluate, grouped, outliers, panel, prepare, profile,
     sample, training, trailing,
 )
-from ebbtide.plans import modelling, monitoring, training_set
+from ebbtide.plans import fetch, modelling, monitoring, training_set
 from ebbtide.schemas import (
     BALANCE, COUNTS, CUSTOMER, MEASURES, PANEL_MEASURES, PREDICTED, RAW_TRANSACTION, TARGET,
     TRANSACTION_COLUMNS,
@@ -36,6 +35,8 @@ OBSERVATION = training_set.Observation(YEAR, MONTH, HISTORY)
 FIRST, LAST = sources.observation_bounds(YEAR, MONTH, HISTORY)
 SEED, TEST_SIZE, SAMPLE = 42, 0.2, 500
 ROUND = 4
+PANEL = [*MONTHLY, "new_customer_flag", "cif_missing_flag"]
+MERGED = [*PANEL, "No_of_Acc_Held", "CIF_CREATE"]
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -128,9 +129,32 @@ def labelled(t: Inputs) -> DataFrame:
     return churn.with_churn_label(merged(t, months=months), churn.churn_label(months), YEAR, MONTH)
 
 
+_labelled: dict[tuple[str, str], DataFrame] = {}
+
+
 def stored_labelled(t: Inputs) -> DataFrame:
-    """The steps after this one read the table several times."""
-    return materialise(labelled(t), "labelled")
+    """Stored once per session and folder: the input of the steps after this one."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _labelled:
+        _labelled[key] = materialise(labelled(t), "labelled")
+    return _labelled[key]
+
+
+_features: dict[tuple[str, str], tuple[DataFrame, demographics.OneHot]] = {}
+
+
+def features(t: Inputs) -> tuple[DataFrame, demographics.OneHot]:
+    """The full feature table with its label, stored once per session and folder, and its categories."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _features:
+        table, encoder = training_set.feature_table(tables(t), OBSERVATION)
+        _features[key] = materialise(table, "features"), encoder
+    return _features[key]
+
+
+def fresh_train(t: Inputs) -> DataFrame:
+    """The training part of the full feature table, as the selection steps get it."""
+    return sample.split_by_hash(features(t)[0].drop(*prepare.NOT_CORRELATED), TEST_SIZE, SEED)[0]
 
 
 # --- sources and sinks --------------------------------------------------------------------------
@@ -206,6 +230,56 @@ def sample_or_stored(t):
     return sources.sample_or_stored(t.spark, path, build, ["account"], reuse=True)["account"]
 
 
+def _csv_folders(t) -> fetch.RawFolders:
+    """The raw tables as a bank's files: months apart, columns in another order, two names untranslated."""
+    root = new_folder(t.spark, "raw")
+    stored = materialise(t.raw_transaction, "raw_transaction", ("YEAR", "MONTH"))
+    month = FIRST
+    while month <= LAST:
+        part = stored.filter((F.col("YEAR") == month.year) & (F.col("MONTH") == month.month))
+        names = TRANSACTION_COLUMNS if month.month % 2 else TRANSACTION_COLUMNS[::-1]
+        part.select(names).write.option("header", True).csv(f"{root}/transactions/{month:%Y_%m}")
+        month = dt.date(month.year + month.month // 12, month.month % 12 + 1, 1)
+    t.raw_account.select(t.raw_account.columns[::-1]).write.option("header", True).csv(f"{root}/accounts")
+    t.raw_demographics.withColumnsRenamed({"PROVINCE": "TINH", "OCCUPATION": "NGHE_NGHIEP"}).write.option(
+        "header", True).csv(f"{root}/demographics")
+    return fetch.RawFolders(f"{root}/transactions", f"{root}/accounts", f"{root}/demographics")
+
+
+def _fetched(t) -> training_set.BankTables:
+    return fetch.fetch(t.spark, _csv_folders(t), OBSERVATION, t.mapping_data_region, t.mapping_data_occupation,
+                       t.mapping_data_translation)
+
+
+@query(f"SELECT {_plain(MERGED)}, churn_flag FROM {{labelled_w}}")
+def fetch_to_label(t):
+    """From raw folders to the labelled table."""
+    raw = _fetched(t)
+    customers = training_set.transform_demographics(raw)
+    months = materialise(training_set.transform_transactions(raw, customers, OBSERVATION), "panel")
+    table = churn.merge_tables(
+        months.drop("date"), training_set.transform_account_table(raw), customers, YEAR, MONTH, None)
+    return churn.with_churn_label(table, churn.churn_label(months), YEAR, MONTH)
+
+
+@query(f"""
+SELECT {_plain([c for c in DEMOGRAPHICS if c != 'CIF_CREATE'])}, CIF_CREATE, n_accounts, n_transactions
+FROM (SELECT * FROM {{raw_demographics}} WHERE {ID} IN (SELECT {ID} FROM {{chosen}}))
+LEFT JOIN (SELECT {ID}, count(*) AS n_accounts FROM {{raw_account}} GROUP BY 1) USING ({ID})
+LEFT JOIN (SELECT {ID}, count(*) AS n_transactions FROM {{raw_transaction}} GROUP BY 1) USING ({ID})""")
+def sample_stage(t):
+    """All three tables of the sampled customers, stored and read again."""
+    path = new_folder(t.spark, "sample")
+    fetch.sample_tables(t.spark, tables(t), path, SAMPLE, SEED)
+    kept = fetch.sample_tables(t.spark, tables(t), path, SAMPLE, SEED, reuse=True)
+
+    def count(df, name):
+        return df.groupBy(CUSTOMER).agg(F.count("*").alias(name))
+
+    return kept.demographics.join(count(kept.accounts, "n_accounts"), CUSTOMER, "left").join(
+        count(kept.transactions, "n_transactions"), CUSTOMER, "left")
+
+
 # --- cleaning and reports -----------------------------------------------------------------------
 
 
@@ -250,6 +324,14 @@ def flag_distribution(t):
     return profile.flag_distribution(churn.churn_label(whole_panel(t)), TARGET, "created_churn_flag_data")
 
 
+@query(_join([f"""
+SELECT 'scored' AS file_name, '{c}' AS flag, CAST({c} AS VARCHAR) AS value, {_human("n")} AS abbrCount,
+       concat(CAST(round(n * 100.0 / sum(n) OVER (), 1) AS DOUBLE), ' %') AS percentage, n AS "actualCount"
+FROM (SELECT {c}, count(*) AS n FROM {{scored}} GROUP BY {c})""" for c in (TARGET, PREDICTED)], " UNION ALL "))
+def stage_report(t):
+    return profile.stage_report(t.scored, "scored")["flags"]
+
+
 @query(f"SELECT l_orderkey * l_partkey AS n, {_human('(l_orderkey * l_partkey)')} AS short FROM lineitem")
 def human_format_numbers(t):
     product = F.col("l_orderkey") * F.col("l_partkey")
@@ -556,10 +638,6 @@ def trailing_features(t):
     ])
 
 
-PANEL = [*MONTHLY, "new_customer_flag", "cif_missing_flag"]
-MERGED = [*PANEL, "No_of_Acc_Held", "CIF_CREATE"]
-
-
 @query(f"SELECT {_plain(PANEL)}, No_of_Acc_Held FROM {{panel_w}} JOIN {{held}} USING ({ID})")
 def merge_account_counts(t):
     held = accounts.transform_accounts(accounts.clean_account_events(t.raw_account))
@@ -583,17 +661,14 @@ def merge_tables(t):
     return merged(t)
 
 
-FEW = ["NO_TRANSATION", "PRE_CLS_BAL"]
-
-
 @query(f"SELECT m.*, w.* EXCLUDE ({ID}) FROM (SELECT {_plain(MERGED)} FROM {{merged_w}}) m LEFT JOIN ("
        f"SELECT {ID}, " + _join(
            f"max({c}_{a}) FILTER (WHERE months = {i}) AS {c}_l{i}m_{a}"
-           for i in range(1, HISTORY + 1) for c in FEW for a in trailing.AGGREGATES)
+           for i in range(1, HISTORY + 1) for c in trailing.TRAILING_COLUMNS for a in trailing.AGGREGATES)
        + f" FROM ({LONG_SQL}) GROUP BY {ID}) w ON w.{ID} = m.{ID}")
 def merge_trailing(t):
-    few = trailing.trailing_features(window_panel(t), YEAR, MONTH, HISTORY, FEW)
-    out = merged(t, few)
+    months = materialise(window_panel(t), "panel")
+    out = merged(t, trailing.trailing_features(months, YEAR, MONTH, HISTORY), months)
     return rounded(out, [c for c in out.columns if c.endswith(MEASURED)])
 
 
@@ -616,12 +691,12 @@ def split_by_hash(t):
 
 @query()
 def remove_outliers(t):
-    return outliers.remove_outliers(stored_labelled(t), 0.05).select(CUSTOMER)
+    return outliers.remove_outliers(features(t)[0], 0.05).select(CUSTOMER)
 
 
 @query()
 def outlier_scores(t):
-    table = stored_labelled(t)
+    table = features(t)[0]
     names = outliers.examined_columns(table)
     return outliers.outlier_scores(table, names).select(CUSTOMER, F.round("outlier_score", 6).alias("score"))
 
@@ -639,22 +714,26 @@ def correlations(t):
 
 @query()
 def select_uncorrelated(t):
-    table = stored_labelled(t)
-    return table.select(prepare.select_uncorrelated(table, 0.9)).select(CUSTOMER, TARGET, "No_of_Acc_Held")
+    """Each column of the full feature table, and whether it stays."""
+    table = features(t)[0]
+    return _kept(table, prepare.select_uncorrelated(table, 0.9))
+
+
+def _kept(table, names):
+    """One row per column of the schema."""
+    rows = [(c, c in set(names)) for c in table.columns]
+    return table.sparkSession.createDataFrame(rows, "column_name string, kept boolean")
 
 
 @query()
 def feature_importances(t):
-    table = stored_labelled(t).select(CUSTOMER, *FEATURES, TARGET)
-    train, _ = sample.split_by_hash(table, TEST_SIZE, SEED)
-    return rounded(prepare.feature_importances(train, seed=SEED), ["Value"])
+    return rounded(prepare.feature_importances(fresh_train(t), seed=SEED), ["Value"])
 
 
 @query()
 def select_important(t):
-    table = stored_labelled(t).select(CUSTOMER, *FEATURES, TARGET)
-    train, _ = sample.split_by_hash(table, TEST_SIZE, SEED)
-    return train.select(prepare.select_important(train, 0.0, 0.5, seed=SEED, iterations=20)).select(CUSTOMER, TARGET)
+    train = fresh_train(t)
+    return _kept(train, prepare.select_important(train, 0.0, 0.5, seed=SEED))
 
 
 def _scaled(c):
@@ -698,14 +777,12 @@ def split_ids_new_data(t):
 # --- modelling ----------------------------------------------------------------------------------
 
 
-def _prepared(t, columns=FEATURES):
-    table = stored_labelled(t).select(CUSTOMER, *columns, TARGET)
-    train, test = sample.split_by_hash(table, TEST_SIZE, SEED)
-    return prepare.standardise(train, test)
-
-
-def _linear():
-    return {"logistic_regression": (LogisticRegression(labelCol=TARGET, regParam=0.01), [{}])}
+def _prepared(t):
+    """Both parts of the full feature table, nulls filled, scaled."""
+    table = features(t)[0].drop(*prepare.NOT_CORRELATED)
+    table = prepare.fill_missing(table, prepare.feature_names(table))
+    train, test = prepare.standardise(*sample.split_by_hash(table, TEST_SIZE, SEED))
+    return materialise(train, "train"), materialise(test, "test")
 
 
 @query()
@@ -747,19 +824,21 @@ def metrics_of_run(t):
 @query()
 def score_train_and_test(t):
     train, test = _prepared(t)
-    trained = training.train_candidates(train, choices=_linear())
-    model = trained.models["logistic_regression"]
+    trained = training.train_candidates(train, seed=SEED)
+    model = trained.models[training.select_best(trained.leaderboard).first().model]
     scored = [training.score(model, df, trained.columns) for df in (train, test)]
     return rounded(scored[0].unionAll(scored[1]), ["0_predicted_proba", "1_predicted_proba"])
 
 
 @query()
 def score_with_stored_model(t):
+    """The best model, saved and loaded, over the test set."""
     train, test = _prepared(t)
-    trained = training.train_candidates(train, choices=_linear())
+    trained = training.train_candidates(train, seed=SEED)
     path = new_folder(t.spark, "model")
     tags = {"observation_year": str(YEAR), "observation_month_number": str(MONTH), "historical_months": str(HISTORY)}
-    training.save_model(t.spark, trained.models["logistic_regression"], path, trained.columns, tags)
+    best = training.select_best(trained.leaderboard).first().model
+    training.save_model(t.spark, trained.models[best], path, trained.columns, tags)
     model, columns, _ = training.load_model(t.spark, path)
     return rounded(training.score(model, test, columns), ["0_predicted_proba", "1_predicted_proba"])
 
@@ -798,16 +877,17 @@ def monitoring_table(t):
 
 @query()
 def train_and_monitor(t):
-    """Everything from raw tables to the monitoring of the next month."""
-    features, encoder = training_set.feature_table(tables(t), OBSERVATION, trailing_columns=FEW)
-    settings = modelling.Preparation(iterations=20, trees=50)
-    sets = modelling.prepare_sets(features, settings)
-    trained, model, _, _ = modelling.train_and_score(sets, choices=_linear())
+    """Everything from raw tables to the monitoring of the next month, which knows the stored run alone."""
+    table, encoder = features(t)
+    sets = modelling.prepare_sets(table)
+    trained, model, _, _ = modelling.train_and_score(sets)
+    path = new_folder(t.spark, "run")
+    best = training.select_best(trained.leaderboard).first().model
+    modelling.save_run(t.spark, path, model, best, sets, encoder, trained.leaderboard)
     later = training_set.Observation(YEAR, MONTH + 1, HISTORY, new_data=True, monitoring=True)
-    new, _ = training_set.feature_table(tables(t), later, encoder, FEW)
-    scored = monitoring.score_new_data(model, sets.columns, sets.scaling, new, monitoring=True)
-    table = monitoring.monitor(scored, trained.leaderboard, "logistic_regression")
-    return rounded(table, ["ndp_score", "original_model_score", "% diff"])
+    new, _ = training_set.feature_table(tables(t), later, modelling.load_run(t.spark, path).encoder)
+    scored = materialise(monitoring.score_new_data(path, new, monitoring=True), "scored")
+    return rounded(monitoring.monitor(scored, path), ["ndp_score", "original_model_score", "% diff"])
 
 
 def queries():

@@ -9,7 +9,10 @@ from checks.oracle import STEPS, with_steps
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SQL = entry.oracle_sql()
 # too slow for every test run; the operators have tests of their own
-LONG = {"train_candidates", "train_and_monitor", "feature_importances", "select_important"}
+LONG = {
+    "train_candidates", "train_and_monitor", "feature_importances", "select_important", "score_train_and_test",
+    "score_with_stored_model",
+}
 
 
 @pytest.fixture(scope="module")
