@@ -785,10 +785,21 @@ def _prepared(t):
     return materialise(train, "train"), materialise(test, "test")
 
 
+_trained: dict[tuple[str, str], tuple[training.TrainedModels, DataFrame, DataFrame]] = {}
+
+
+def trained_models(t: Inputs) -> tuple[training.TrainedModels, DataFrame, DataFrame]:
+    """All candidates, trained once per session and folder, with the sets they were trained for."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _trained:
+        train, test = _prepared(t)
+        _trained[key] = training.train_candidates(train, seed=SEED), train, test
+    return _trained[key]
+
+
 @query()
 def train_candidates(t):
-    train, _ = _prepared(t)
-    return rounded(training.train_candidates(train, seed=SEED).leaderboard, ["value"])
+    return rounded(trained_models(t)[0].leaderboard, ["value"])
 
 
 def _cut(df, threshold):
@@ -823,8 +834,7 @@ def metrics_of_run(t):
 
 @query()
 def score_train_and_test(t):
-    train, test = _prepared(t)
-    trained = training.train_candidates(train, seed=SEED)
+    trained, train, test = trained_models(t)
     model = trained.models[training.select_best(trained.leaderboard).first().model]
     scored = [training.score(model, df, trained.columns) for df in (train, test)]
     return rounded(scored[0].unionAll(scored[1]), ["0_predicted_proba", "1_predicted_proba"])
@@ -833,8 +843,7 @@ def score_train_and_test(t):
 @query()
 def score_with_stored_model(t):
     """The best model, saved and loaded, over the test set."""
-    train, test = _prepared(t)
-    trained = training.train_candidates(train, seed=SEED)
+    trained, _, test = trained_models(t)
     path = new_folder(t.spark, "model")
     tags = {"observation_year": str(YEAR), "observation_month_number": str(MONTH), "historical_months": str(HISTORY)}
     best = training.select_best(trained.leaderboard).first().model
