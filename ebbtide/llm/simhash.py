@@ -25,14 +25,16 @@ from pyspark.sql.types import LongType
 
 from ebbtide.session import materialise
 
-from .common import ROW, stored_rows, text_of, travels
+from .common import ROW, bounded_batches, stored_rows, text_of, travels
 from .components import components
 
 WORDS = 4
 RADIUS = 4
 SEED = 42
-#: Variants that a task makes at once, and that a partition is planned for.
+#: Variants that a task makes at once, and half of those that a partition is planned for.
 BLOCK = 1 << 21
+#: Partitions at most; a larger input has larger ones, which are read block by block.
+PARTITIONS = 50_000
 #: Variants under the same leading bits beyond which they are shuffled one by one: a task holds no more at once.
 HOT = 4 * BLOCK
 
@@ -104,25 +106,27 @@ def links_of_block(prefix: np.ndarray, prints: np.ndarray, lead: int, half: int)
 
 
 def _meet(lead: int, half: int):
+    """Rows sorted by prefix -> links, from whole prefixes that together make about a block of variants."""
+    rest = 64 - lead
+    width = np.array([sum(math.comb(rest, k) for k in range(half - used + 1)) for used in range(half + 1)])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches) or [pd.DataFrame({"prefix": [], "fingerprint": []}, dtype="int64")])
-        if not len(rows):
-            return
-        prefix = rows["prefix"].to_numpy().view(np.uint64)
-        prints = rows["fingerprint"].to_numpy().view(np.uint64)
-        order = np.argsort(prefix, kind="stable")
-        prefix, prints = prefix[order], prints[order]
-        rest = 64 - lead
-        spent = np.bitwise_count(prefix ^ (prints >> np.uint64(rest))).astype(int)
-        width = np.array([sum(math.comb(rest, k) for k in range(half - used + 1)) for used in range(half + 1)])
-        made = np.cumsum(width[spent])
-        # whole prefixes, together about a block of variants
-        bounds = np.append(np.flatnonzero(np.diff(prefix)) + 1, len(prefix))
-        start, before = 0, 0
-        for i, stop in enumerate(bounds):
-            if i + 1 == len(bounds) or made[bounds[i + 1] - 1] - before > BLOCK:
-                yield links_of_block(prefix[start:stop], prints[start:stop], lead, half)
-                start, before = stop, made[stop - 1]
+        held, made = [], 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            prefix, prints = (batch[c].to_numpy().view(np.uint64) for c in ("prefix", "fingerprint"))
+            if made > BLOCK:
+                # the last prefix may go on in the next batch
+                last = int(np.searchsorted(prefix, prefix[-1]))
+                if last or held[-1][0][-1] != prefix[0]:
+                    held.append((prefix[:last], prints[:last]))
+                    yield links_of_block(*map(np.concatenate, zip(*held)), lead, half)
+                    held, made, prefix, prints = [], 0, prefix[last:], prints[last:]
+            held.append((prefix, prints))
+            made += int(width[np.bitwise_count(prefix ^ (prints >> np.uint64(rest))).astype(int)].sum())
+        if held:
+            yield links_of_block(*map(np.concatenate, zip(*held)), lead, half)
 
     return run
 
@@ -153,8 +157,8 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     made = spread.groupBy("prefix").agg(F.sum(F.get(widths, spent)).alias("made"))
     hot = materialise(made.filter(F.col("made") > HOT).select("prefix"), "hot")
     total = n * sum(math.comb(64, k) for k in range(half + 1))
-    parts = max(1, math.ceil(total / (2 * BLOCK)))
-    cold = spread.join(hot, "prefix", "left_anti").repartition(parts, "prefix")
+    parts = min(PARTITIONS, max(1, math.ceil(total / (2 * BLOCK))))
+    cold = spread.join(hot, "prefix", "left_anti").repartition(parts, "prefix").sortWithinPartitions("prefix")
     found = cold.mapInPandas(_meet(lead, half), "u long, v long")
     if hot.take(1):
         found = found.unionByName(_hot_links(spread.join(hot, "prefix", "left_semi"), lead, half))
@@ -185,6 +189,7 @@ def near_groups(rows: DataFrame, n: int = WORDS, radius: int = RADIUS) -> DataFr
     component_id is the smallest doc_id within reach (null only if all are); one row of each component is kept,
     that of the smallest doc_id, null last, exactly one if rows repeat. No rows give no rows.
     """
+    bounded_batches(rows.sparkSession)
     prints = materialise(rows.select(ROW, "doc_id", fingerprints(text_of(), n).alias("fingerprint")), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", ROW)).alias("first")
     roots = components(links(prints, radius)).withColumnRenamed("node", "fingerprint")

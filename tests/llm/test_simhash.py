@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -80,6 +81,25 @@ def test_links_keep_components_whole(spark, monkeypatch, radius, hot):
     assert [roots.get(v, v) for v in signed] == want
 
 
+@pytest.mark.parametrize("size", [1, 7, 100])
+def test_links_do_not_depend_on_batches(monkeypatch, size):
+    """Blocks end between prefixes, wherever batches end; one prefix here is longer than any batch."""
+    dice = np.random.default_rng(3)
+    prints = np.sort(np.unique(dice.integers(0, 2**20, 500))) | (np.sort(dice.integers(0, 40, 1)) << 56)
+    prefix = np.sort(np.where(dice.random(len(prints)) < 0.5, prints >> 56, (prints >> 56) ^ (1 << dice.integers(0, 8, len(prints)))))
+    rows = pd.DataFrame({"prefix": prefix, "fingerprint": prints})
+
+    def found(step, block):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        parts = simhash._meet(8, 2)(rows.iloc[at : at + step] for at in range(0, len(rows), step))
+        made = pd.concat(parts)
+        return set(zip(made["u"], made["v"]))
+
+    whole = found(len(rows), 1 << 30)
+    assert whole and found(size, 5000) == whole
+    assert list(simhash._meet(8, 2)(iter([rows.iloc[:0]]))) == []
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(1, 200)]
     star = [(1000, 1000 + i) for i in range(1, 50)] + [(1000, 1000)]
