@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: application id -> its folder
+_own: dict[str, str] = {}
+
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -47,9 +50,30 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def own_folder(spark: SparkSession) -> str:
+    """The folder below the shared one that holds what this application stores."""
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = f"{shared_folder(spark)}/ebbtide-{app}-{uuid.uuid4().hex}"
+    return _own[app]
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nobody else uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the application's folder that nobody else uses."""
+    return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete what this application has stored so far.
+
+    Meant for the end of a job: every DataFrame that ``materialise`` returned, and all that is derived from
+    one, is of no use afterwards. Results to keep are written elsewhere first. What is stored later goes to a
+    new folder.
+    """
+    folder = _own.pop(spark.sparkContext.applicationId, None)
+    if folder is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

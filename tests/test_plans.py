@@ -6,6 +6,7 @@ from checks.queries import tables
 from ebbtide.operators import accounts
 from ebbtide.plans import fetch, modelling, monitoring, training_set
 from ebbtide.schemas import CUSTOMER, TARGET
+from ebbtide.session import drop_stored, materialise
 
 FOLDER = "/root/testdata/sf0.001"
 FEW = ["NO_TRANSATION", "PRE_CLS_BAL"]  # the queries use all columns
@@ -99,3 +100,16 @@ def test_window_condition_reaches_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(YEAR,2000)" in plan and "LessThanOrEqual(YEAR,2001)" in plan
     assert "AMT_CREDIT" not in plan
+
+
+def test_stored_tables_can_be_dropped(spark, monkeypatch, tmp_path):
+    """Only the application's own folder goes; what is stored later has a new one."""
+    monkeypatch.setattr("ebbtide.session._own", {})
+    monkeypatch.setattr("ebbtide.session.shared_folder", lambda spark: str(tmp_path))
+    (tmp_path / "theirs").mkdir()
+    assert materialise(spark.range(5), "t").count() == 5
+    assert len(list(tmp_path.iterdir())) == 2
+    drop_stored(spark)
+    drop_stored(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["theirs"]
+    assert materialise(spark.range(3), "t").count() == 3
