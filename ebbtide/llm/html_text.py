@@ -111,6 +111,15 @@ class _Lines(HTMLParser):
             self.nodes.append((self.open[-1], tag, outside))
             self.open.append(len(self.nodes) - 1)
 
+    def parse_html_declaration(self, i):
+        if not self.rawdata.startswith("<![", i):
+            return super().parse_html_declaration(i)
+        # a comment up to the next '>', or up to ']]>' for character data of SVG and MathML; the page comes in one piece
+        foreign = self.rawdata.startswith("<![CDATA[", i) and any(self.nodes[n][1] in ("svg", "math") for n in self.open)
+        end = "]]>" if foreign else ">"
+        at = self.rawdata.find(end, i + 3)
+        return len(self.rawdata) if at < 0 else at + len(end)
+
     def handle_startendtag(self, tag, attrs):
         # HTML knows no self-closing elements besides the void ones
         self.handle_starttag(tag, attrs)

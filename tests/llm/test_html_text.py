@@ -35,6 +35,14 @@ def test_small_and_broken_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("a<![x]>b", "ab"), ("a<![]>b", "ab"), ("a<![ foo]>b", "ab"), ("<![1 2]>", ""), ("a<![if !IE]>b<![endif]>c", "abc"),
+    ("a<![CDATA[b]]>c", "ac"), ("<p>a<svg><text><![CDATA[x > y]]></text></svg>b", "a\n\nb"), ("a<![open", "a"), ("a<![", "a"),
+])
+def test_marked_sections_are_comments(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20_000 + "deep") == "deep"
     text = "\n\n".join(f"p{i}" for i in range(20_000))
