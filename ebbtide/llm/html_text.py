@@ -2,8 +2,9 @@
 
 The events of the standard library's streaming parser cut a page into lines, one per block of running text. A
 line's ratio is its characters over its tags; the ratios are smoothed with a Gaussian, and lines above their
-standard deviation form the content regions. The element that holds most of that text is the article: its
-blocks are returned in order, whatever their own ratios, without the elements that are never part of an article.
+standard deviation form the content regions. The smallest element that holds all of them, or all of those in the page's main
+or article elements, is the article: its blocks are returned in order, whatever their own ratios, with the headline
+before it and without the elements that are never part of an article.
 """
 
 from __future__ import annotations
@@ -46,8 +47,9 @@ ABOUT = frozenset("has with no without is js".split())
 #: Elements whose text is not shown.
 SILENT = frozenset("head script style noscript template iframe object svg math canvas audio video map".split())
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 SMOOTHING = 2
-SHARE = 0.75
 
 
 class _Lines(HTMLParser):
@@ -168,31 +170,73 @@ def content_lines(lines: list[tuple[int, str, int, int]]) -> list[int]:
     return [i for i, r in enumerate(ratios) if r >= bound]
 
 
-def article(nodes: list[tuple[int, str, bool]], lines: list[tuple[int, str, int, int]]) -> int:
-    """The element that holds most of the content text.
+def marked(nodes: list[tuple[int, str, bool]]) -> list[int]:
+    """For each node the innermost article or main around or at it, or -1."""
+    out = []
+    for n, (parent, tag, _) in enumerate(nodes):
+        out.append(n if tag in ("article", "main") else out[parent] if parent >= 0 else -1)
+    return out
+
+
+def article(nodes: list[tuple[int, str, bool]], lines: list[tuple[int, str, int, int]]) -> tuple[int, int]:
+    """The element that holds all content lines, and the line of the headline before it (or one past all lines).
 
-    From the top down into the child with most of it, through containers only; an article or main element that
-    holds more than half of it ends the search.
+    A main element with over half of the content text, or article elements with over half of it together, stand
+    for the page; an article or main element is not cut into.
+    """
+    content = [i for i in content_lines(lines) if lines[i][1]]
+    weight = sum(len(lines[i][1]) for i in content)
+    depth, around, scopes = [], marked(nodes), {"main": [], "article": []}
+    for n, (parent, tag, _) in enumerate(nodes):
+        depth.append(depth[parent] + 1 if parent >= 0 else 0)
+        scopes["main"].append(tag == "main" or parent >= 0 and scopes["main"][parent])
+        scopes["article"].append(tag == "article" or parent >= 0 and scopes["article"][parent])
+    for tag in ("main", "article"):
+        own = [i for i in content if scopes[tag][lines[i][0]]]
+        if 2 * sum(len(lines[i][1]) for i in own) > weight:
+            content = own
+            break
+    top = lines[content[0]][0] if content else 0
+    for i in content[1:]:
+        node = lines[i][0]
+        while node != top:
+            if depth[node] > depth[top]:
+                node = nodes[node][0]
+            else:
+                top = nodes[top][0]
+    if around[top] >= 0:
+        top = around[top]
+        return top, headline(nodes, lines, top, scopes["main"])
+    # a block of running text has its neighbours around it
+    if any(lines[i][0] == top for i in content) and top:
+        top = nodes[top][0]
+    while top and nodes[top][1] not in CONTAINERS:
+        top = nodes[top][0]
+    return top, headline(nodes, lines, top, scopes["main"])
+
+
+def headline(nodes: list[tuple[int, str, bool]], lines: list[tuple[int, str, int, int]], top: int, in_main: list[bool]) -> int:
+    """The line of the highest heading before the element, the last of that level; one past all lines if there is none.
+
+    An element with a first heading has its headline; an article or main element with any heading has it too, and
+    one inside a main element takes it from there only.
     """
-    weight = [0] * len(nodes)
-    for i in content_lines(lines):
-        node, text = lines[i][:2]
-        while node >= 0:
-            weight[node] += len(text)
-            node = nodes[node][0]
-    for tag in ("article", "main"):
-        best = max((n for n in range(len(nodes)) if nodes[n][1] == tag), key=lambda n: weight[n], default=None)
-        if best is not None and 2 * weight[best] > weight[0]:
-            return best
-    heavy: dict[int, int] = {}
-    for n in range(1, len(nodes)):
-        parent = nodes[n][0]
-        if nodes[n][1] in CONTAINERS and weight[n] > SHARE * weight[0]:
-            heavy[parent] = n
-    here = 0
-    while here in heavy:
-        here = heavy[here]
-    return here
+    inside, marked_up = within(nodes, top), nodes[top][1] in ("article", "main")
+    first = next((i for i, line in enumerate(lines) if inside[line[0]]), 0)
+    own = HEADINGS if marked_up and not in_main[nodes[top][0]] else {"h1"}
+    if any(text and inside[node] and nodes[node][1] in own for node, text, *_ in lines):
+        return len(lines)
+    before = [i for i in range(first) if lines[i][1] and nodes[lines[i][0]][1] in HEADINGS
+              and (in_main[lines[i][0]] or not in_main[top])]
+    least = min((nodes[lines[i][0]][1] for i in before), default="")
+    return next((i for i in reversed(before) if nodes[lines[i][0]][1] == least), len(lines))
+
+
+def within(nodes: list[tuple[int, str, bool]], top: int) -> list[bool]:
+    inside = [False] * len(nodes)
+    for n, (parent, _, _) in enumerate(nodes):
+        inside[n] = n == top or parent >= 0 and inside[parent]
+    return inside
 
 
 def main_text(html: str) -> str:
@@ -202,11 +246,13 @@ def main_text(html: str) -> str:
     page.close()
     if not page.lines:
         return ""
-    top = article(page.nodes, page.lines)
-    inside = [False] * len(page.nodes)
-    for n, (parent, _, _) in enumerate(page.nodes):
-        inside[n] = n == top or parent >= 0 and inside[parent]
-    return "\n\n".join(text for node, text, *_ in page.lines if text and inside[node])
+    top, begin = article(page.nodes, page.lines)
+    inside, out, begun = within(page.nodes, top), [], False
+    for i, (node, text, *_) in enumerate(page.lines):
+        begun = begun or inside[node]
+        if text and (inside[node] or i >= begin and not begun):
+            out.append(text)
+    return "\n\n".join(out)
 
 
 def extracted(html: Column) -> Column:

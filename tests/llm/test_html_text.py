@@ -43,6 +43,28 @@ def test_marked_sections_are_comments(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG, MORE = "long text of the article " * 30, "another part of the same article " * 8
+
+
+def blocks(*texts):
+    return "\n\n".join(t.strip() for t in texts)
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div id=page><h1>Headline</h1><div class=text><p>{LONG}</p><p>{MORE}</p></div></div>", blocks("Headline", LONG, MORE)),
+    (f"<div id=page><h2>Headline</h2><p>By me</p><div class=text><p>{LONG}<p>{MORE}</div></div>",
+     blocks("Headline", "By me", LONG, MORE)),
+    (f"<div><section><p>{LONG}</p></section><section><p>{MORE}</p></section></div>", blocks(LONG, MORE)),
+    (f"<table><tr><td><p>{LONG}</p></td><td><p>{MORE}</p></td></tr></table>", blocks(LONG, MORE)),
+    (f"<main><article><p>{LONG}</p></article><section><p>{LONG}</p></section></main>", blocks(LONG, LONG)),
+    (f"<main><h1>Headline</h1><article><h2>a</h2><p>{LONG}</p></article></main>", blocks("Headline", "a", LONG)),
+    (f"<div><article><p>{LONG}</p></article><article><p>{MORE}</p></article></div>", blocks(LONG, MORE)),
+    (f"<ul><li>Home</ul><div id=page><h1>Headline</h1><div><div><p>{LONG}</div></div></div>", blocks("Headline", LONG)),
+])
+def test_the_whole_article_is_kept(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20_000 + "deep") == "deep"
     text = "\n\n".join(f"p{i}" for i in range(20_000))
