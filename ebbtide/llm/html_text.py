@@ -5,6 +5,9 @@ line's ratio is its characters over its tags; the ratios are smoothed with a Gau
 standard deviation form the content regions. The smallest element that holds all of them, or all of those in the page's main
 or article elements, is the article: its blocks are returned in order, whatever their own ratios, with the headline
 before it and without the elements that are never part of an article.
+
+Navigation, forms and elements named like a part beside the article are areas of their own and left out, unless
+the area with most of the running text is one of them: then it and what surrounds it belong to the page.
 """
 
 from __future__ import annotations
@@ -22,10 +25,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q ruby rp rt s samp small span "
     "strike strong sub sup time tt u var wbr".split())
+#: Not part of an article, unless they hold it.
+BESIDE = frozenset("nav footer aside".split())
+WRAPPERS = frozenset("form fieldset".split())
 #: Never part of an article.
-OUTSIDE = frozenset(
-    "head nav footer aside form script style noscript template iframe object svg math button select option textarea "
-    "input label fieldset menu dialog canvas audio video map".split())
+CONTROLS = frozenset("button select option textarea input label menu dialog".split())
 #: Words of class, id and role that name such parts.
 NAMED = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies "
@@ -48,55 +52,67 @@ ABOUT = frozenset("has with no without is js".split())
 SILENT = frozenset("head script style noscript template iframe object svg math canvas audio video map".split())
 
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Kinds of areas: the page itself, what may wrap an article, what stands beside one, what is no text of the page.
+PAGE, WRAPPER, ASIDE, NEVER = range(4)
 
 SMOOTHING = 2
+#: Times the running text of the page's own article elements that a wrapper without one must hold to count as the page.
+OUTWEIGHS = 4
 
 
 class _Lines(HTMLParser):
-    """Nodes (parent, tag, outside) and lines (node, text, tags, characters) of a page.
+    """Nodes (parent, tag, area), areas (parent area, kind) and lines (node, parts, tags) of a page.
 
-    Lines outside of any article have their characters counted and no text.
+    A part is (area, text). Text that is not shown is in no line.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.nodes: list[tuple[int, str, bool]] = [(-1, "", False)]
+        self.nodes: list[tuple[int, str, int]] = [(-1, "", 0)]
+        self.areas: list[tuple[int, int]] = [(-1, PAGE)]
         self.open = [0]
-        self.lines: list[tuple[int, str, int, int]] = []
-        self.parts: list[str] = []
-        self.tags = self.hidden = 0
+        self.lines: list[tuple[int, list[tuple[int, str]], int]] = []
+        self.parts: list[tuple[int, str]] = []
+        self.tags = 0
 
     def cut(self) -> None:
-        text = " ".join("".join(self.parts).split())
-        if text or self.hidden:
-            self.lines.append((self.block(), text, self.tags, len(text) or self.hidden))
-            self.tags = self.hidden = 0
+        if any(data.strip() for _, data in self.parts):
+            self.lines.append((self.block(), self.parts, self.tags))
+            self.tags = 0
         self.parts = []
 
     def block(self) -> int:
         """The innermost open element that is not inline."""
         return next(n for n in reversed(self.open) if self.nodes[n][1] not in INLINE)
 
-    def outside(self, tag: str, attributes: list[tuple[str, str | None]]) -> bool:
-        if tag in OUTSIDE or tag == "header" and not any(self.nodes[n][1] in ("article", "main") for n in self.open):
-            return True
+    def kind(self, tag: str, attributes: list[tuple[str, str | None]]) -> int:
+        """The kind of area that an element opens; PAGE if it opens none."""
+        if tag in SILENT or tag in CONTROLS:
+            return NEVER
         if tag in ("html", "body", "article", "main"):
-            return False
+            return PAGE
+        found = PAGE
+        if tag in BESIDE or tag == "header" and not any(self.nodes[n][1] in ("article", "main") for n in self.open):
+            found = ASIDE
+        elif tag in WRAPPERS:
+            found = WRAPPER
         for name, value in attributes:
             if name in ("class", "id", "role") and value:
-                for words in map(SPLIT.split, value.lower().split()):
+                for token in value.lower().split():
+                    words = SPLIT.split(token)
                     if words[0] not in ABOUT and NAMED.intersection(words):
-                        return True
+                        # a word among others may tell about a neighbour or a state
+                        found = max(found, ASIDE if token in NAMED else WRAPPER)
             if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
+                return NEVER
             if name == "style" and value and "display:none" in value.replace(" ", "").lower():
-                return True
-        return False
+                return NEVER
+        return found
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
         if tag == "br":
-            self.parts.append(" ")
+            self.parts.append((self.nodes[self.open[-1]][2], " "))
             return
         if tag not in INLINE:
             self.cut()
@@ -108,9 +124,13 @@ class _Lines(HTMLParser):
                     break
                 if name in SCOPES:
                     break
-        outside = self.nodes[self.open[-1]][2] or self.outside(tag, attrs)
         if tag not in VOID:
-            self.nodes.append((self.open[-1], tag, outside))
+            area = self.nodes[self.open[-1]][2]
+            kind = NEVER if self.areas[area][1] == NEVER else self.kind(tag, attrs)
+            if kind != PAGE and self.areas[area][1] != NEVER:
+                self.areas.append((area, kind))
+                area = len(self.areas) - 1
+            self.nodes.append((self.open[-1], tag, area))
             self.open.append(len(self.nodes) - 1)
 
     def parse_html_declaration(self, i):
@@ -142,11 +162,9 @@ class _Lines(HTMLParser):
                 break
 
     def handle_data(self, data):
-        _, tag, outside = self.nodes[self.open[-1]]
-        if not outside:
-            self.parts.append(data)
-        elif tag not in SILENT:
-            self.hidden += len(data.strip())
+        _, tag, area = self.nodes[self.open[-1]]
+        if tag not in SILENT:
+            self.parts.append((area, data))
 
     def close(self):
         super().close()
@@ -162,6 +180,15 @@ def smoothed(values: list[float], reach: int = SMOOTHING) -> list[float]:
     return out
 
 
+def read_lines(page: _Lines, shown: set[int]) -> list[tuple[int, str, int, int]]:
+    """Lines (node, text of the areas shown, tags, characters); lines without any count their other characters."""
+    out = []
+    for node, parts, tags in page.lines:
+        text = " ".join("".join(data for area, data in parts if area in shown).split())
+        out.append((node, text, tags, len(text) or sum(len(data.strip()) for area, data in parts if area not in shown)))
+    return out
+
+
 def content_lines(lines: list[tuple[int, str, int, int]]) -> list[int]:
     """Indices of the lines whose smoothed ratio reaches the standard deviation of all."""
     ratios = smoothed([characters / max(1, tags) for _, _, tags, characters in lines])
@@ -170,7 +197,7 @@ def content_lines(lines: list[tuple[int, str, int, int]]) -> list[int]:
     return [i for i, r in enumerate(ratios) if r >= bound]
 
 
-def marked(nodes: list[tuple[int, str, bool]]) -> list[int]:
+def marked(nodes: list[tuple[int, str, int]]) -> list[int]:
     """For each node the innermost article or main around or at it, or -1."""
     out = []
     for n, (parent, tag, _) in enumerate(nodes):
@@ -178,7 +205,39 @@ def marked(nodes: list[tuple[int, str, bool]]) -> list[int]:
     return out
 
 
-def article(nodes: list[tuple[int, str, bool]], lines: list[tuple[int, str, int, int]]) -> tuple[int, int]:
+def shown_areas(page: _Lines, lines: list[tuple[int, str, int, int]]) -> set[int]:
+    """The area with most of the running text and those around it.
+
+    What stands beside an article counts with its heaviest article or main element only, unless it has a first
+    heading. A wrapper that has no such element gives way to article elements of the page itself that hold a
+    fourth of its text.
+    """
+    around, total, own = marked(page.nodes), [0] * len(page.areas), {}
+    for i in content_lines(lines):
+        at = around[lines[i][0]]
+        for area, data in page.lines[i][1]:
+            size = len(data.strip())
+            total[area] += size
+            if at >= 0 and page.nodes[at][2] == area:
+                own[at] = own.get(at, 0) + size
+    best, inside = [0] * len(page.areas), [0] * len(page.areas)
+    for at, weight in own.items():
+        area = page.nodes[at][2]
+        best[area], inside[area] = max(best[area], weight), inside[area] + weight
+    headed = {area for _, tag, area in page.nodes if tag == "h1"}
+    chosen, most = 0, total[0]
+    for area, (_, kind) in enumerate(page.areas):
+        weight = 0 if kind in (PAGE, NEVER) else total[area] if kind == WRAPPER or area in headed else best[area]
+        if weight > most and (inside[area] or OUTWEIGHS * inside[0] < weight):
+            chosen, most = area, weight
+    shown = set()
+    while chosen >= 0:
+        shown.add(chosen)
+        chosen = page.areas[chosen][0]
+    return shown
+
+
+def article(nodes: list[tuple[int, str, int]], lines: list[tuple[int, str, int, int]]) -> tuple[int, int]:
     """The element that holds all content lines, and the line of the headline before it (or one past all lines).
 
     A main element with over half of the content text, or article elements with over half of it together, stand
@@ -215,7 +274,7 @@ def article(nodes: list[tuple[int, str, bool]], lines: list[tuple[int, str, int,
     return top, headline(nodes, lines, top, scopes["main"])
 
 
-def headline(nodes: list[tuple[int, str, bool]], lines: list[tuple[int, str, int, int]], top: int, in_main: list[bool]) -> int:
+def headline(nodes: list[tuple[int, str, int]], lines: list[tuple[int, str, int, int]], top: int, in_main: list[bool]) -> int:
     """The line of the highest heading before the element, the last of that level; one past all lines if there is none.
 
     An element with a first heading has its headline; an article or main element with any heading has it too, and
@@ -232,7 +291,7 @@ def headline(nodes: list[tuple[int, str, bool]], lines: list[tuple[int, str, int
     return next((i for i in reversed(before) if nodes[lines[i][0]][1] == least), len(lines))
 
 
-def within(nodes: list[tuple[int, str, bool]], top: int) -> list[bool]:
+def within(nodes: list[tuple[int, str, int]], top: int) -> list[bool]:
     inside = [False] * len(nodes)
     for n, (parent, _, _) in enumerate(nodes):
         inside[n] = n == top or parent >= 0 and inside[parent]
@@ -246,9 +305,13 @@ def main_text(html: str) -> str:
     page.close()
     if not page.lines:
         return ""
-    top, begin = article(page.nodes, page.lines)
+    lines = read_lines(page, {0})
+    shown = shown_areas(page, lines)
+    if len(shown) > 1:
+        lines = read_lines(page, shown)
+    top, begin = article(page.nodes, lines)
     inside, out, begun = within(page.nodes, top), [], False
-    for i, (node, text, *_) in enumerate(page.lines):
+    for i, (node, text, *_) in enumerate(lines):
         begun = begun or inside[node]
         if text and (inside[node] or i >= begin and not begun):
             out.append(text)

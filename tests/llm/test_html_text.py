@@ -65,6 +65,26 @@ def test_the_whole_article_is_kept(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<body><form id=aspnetForm><nav><a href=/>Home</a></nav><article><h1>Head</h1><p>{LONG}</p><p>Short.</p></article>"
+     "<label>Name</label><input value=x><button>Send</button></form>", blocks("Head", LONG, "Short.")),
+    (f"<body><form id=aspnetForm><div><h1>Head</h1><div><p>{LONG}<p>{MORE}<label>Name</label></div></div>"
+     f"<div id=comments><p>{MORE}</div></form>", blocks("Head", LONG, MORE)),
+    (f"<div class='page-with-comments'><h1>Head</h1><div class=text><p>{LONG}<p>{MORE}</div>"
+     f"<div class=comments><p>{MORE}</div></div><footer>us</footer>", blocks("Head", LONG, MORE)),
+    (f"<div class='post related-1'><p>{LONG}</p><p>{MORE}</p></div>", blocks(LONG, MORE)),
+    (f"<body><div class='site-search-open'><form><main><p>{LONG}</p><form>Find</form></main></form></div>", blocks(LONG)),
+    (f"<h1>Head</h1><form><div><p>{LONG}</p></div></form>", blocks("Head", LONG)),
+    # what stands beside an article stays out, however long
+    (f"<div><p>{MORE}</p></div><div id=comments><p>{LONG}</p><p>{LONG}</p></div>", blocks(MORE)),
+    (f"<article><p>{MORE}</p></article><ol class=comment-list><li>{LONG}</ol>", blocks(MORE)),
+    (f"<article><p>{LONG}</p></article><aside><article>{MORE}</article></aside>", blocks(LONG)),
+    (f"<div hidden><article><p>{LONG}</p></article></div><p>shown", "shown"),
+])
+def test_an_article_inside_of_a_form_or_a_named_element(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20_000 + "deep") == "deep"
     text = "\n\n".join(f"p{i}" for i in range(20_000))
