@@ -11,7 +11,9 @@ task and one offset per task and length, so no task sees all pieces of a length.
 from __future__ import annotations
 
 import heapq
+import json
 import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -33,7 +35,7 @@ REMEMBERED = 1 << 19
 
 
 def byte_pair_encoder(vocabulary: str) -> Callable[[str], list[int]]:
-    """text -> ids without special tokens, for the vocabulary of a ``.json`` tokenizer file.
+    """text -> ids of ordinary text, for the vocabulary of a ``.json`` tokenizer file.
 
     The rank file beside it holds the same vocabulary in the form the faster library reads; tests compare the
     two. A space between two other characters always starts a new token, so texts are cut there and the ids
@@ -67,6 +69,30 @@ def byte_pair_encoder(vocabulary: str) -> Callable[[str], list[int]]:
     return encode
 
 
+def encoder(vocabulary: str) -> Callable[[str], list[int]]:
+    """text -> the ids that the ``.json`` tokenizer gives without adding special tokens.
+
+    Added tokens that stand in the text, the longest where several start, have their own ids; what lies between
+    is ordinary text.
+    """
+    with open(vocabulary, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    if odd := [t["content"] for t in added if any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))]:
+        raise ValueError(f"added tokens that match other than as they stand: {odd}")
+    ordinary, ids = byte_pair_encoder(vocabulary), {t["content"]: t["id"] for t in added}
+    if not ids:
+        return ordinary
+    standing = re.compile("(" + "|".join(map(re.escape, sorted(ids, key=len, reverse=True))) + ")")
+
+    def encode(text: str) -> list[int]:
+        parts = standing.split(text)
+        if len(parts) == 1:
+            return ordinary(text)
+        return list(chain.from_iterable([ids[p]] if i % 2 else ordinary(p) for i, p in enumerate(parts)))
+
+    return encode
+
+
 def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens of every piece, stored, with its rank inside its task.
 
@@ -77,7 +103,7 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, with_ids: boo
     bounded_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = byte_pair_encoder(vocabulary)
+        encode = encoder(vocabulary)
         part, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []

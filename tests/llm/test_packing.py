@@ -26,6 +26,21 @@ def test_encoder_agrees_with_the_tokenizer(reference, odd_rows, spark):
     assert [encode(t) for t in texts] == [reference(t) for t in texts]
 
 
+def test_added_tokens_have_their_ids(documents, odd_rows, prose):
+    """As the tokenizer is used, without its special tokens turned into ordinary text."""
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    texts = [t or "" for _, t, *_ in odd_rows] + [
+        "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>a", "x\n<|endoftext|>\n y", "<|endoftext|", " <|endoftext|>  "]
+    texts += [prose(i, 40).replace(" a", "<|endoftext|>") for i in range(20)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[len(odd_rows)] == [64, 220, 50256, 275]
+    encode = packing.encoder(VOCABULARY)
+    assert [encode(t) for t in texts] == want
+    found = packing.pieces(documents(list(enumerate(texts))), VOCABULARY).collect()
+    assert {(r.doc_id, r.ids_crc32, r.doc_tokens) for r in found} == {
+        (i, zlib.crc32(np.array([*ids, 0], "<u4").tobytes()), len(ids) + 1) for i, ids in enumerate(want)}
+
+
 def test_every_id_has_its_place(documents, odd_rows, prose, reference):
     rows = odd_rows + [(50 + i, prose(i, 3 * i + 1)) for i in range(60)] + [(200, prose(5, 4000))]
     found = packing.pack_documents(documents(rows), VOCABULARY, 128, with_ids=True).collect()
