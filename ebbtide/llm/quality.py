@@ -1,7 +1,7 @@
 """Quality rules by robust multivariate outliers.
 
 Each document gets statistics of its words, signs, lines and repetitions, taken to a scale on which documents of a
-kind lie close. Per language and source a minimum-covariance-determinant estimate is found by concentration
+kind lie close. Per language and source, or for small ones per language or over all, a minimum-covariance-determinant estimate is found by concentration
 steps: from the three quarters of the rows that lie nearest to the present centre, mean and covariance are taken
 anew. Rows whose Mahalanobis distance from the result is beyond a chi-square bound go. Everything is Spark SQL on
 one small row per document; a step is one grouped aggregate, so no group is ever held by a task.
@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ebbtide.session import materialise
 
@@ -25,7 +25,7 @@ VECTOR = {"symbols": 0.3, "word_length": 0.15, "repeats": 0.8, "duplicate_lines"
 #: Share of a group that an estimate rests on.
 CORE = 0.75
 STEPS = 3
-#: Groups with fewer rows are judged together with others.
+#: Groups with fewer rows are judged by the estimate of a larger one around them.
 SMALLEST = 200
 #: Chance of a normal row beyond the bound.
 BEYOND = 1e-7
@@ -112,18 +112,24 @@ def chi_square(degrees: int, beyond: float) -> float:
 
 
 def grouped(stats: DataFrame, smallest: int = SMALLEST) -> DataFrame:
-    """``stats`` with ``part``: language and source, or language, or one for all, as far as rows suffice.
+    """``stats`` with ``part``, whose estimate judges a row, and ``parts``, whose estimates the row enters.
 
-    Small sources of a language stand together, and what is still small stands together over all languages.
+    A row is judged by its language and source, by all of its language if that has fewer than ``smallest`` rows,
+    and by all rows if the language has fewer too. Estimates that judge no row are left out.
     """
     fine = F.concat_ws("\x1f", F.lit("s"), F.coalesce("lang", F.lit("\x1e")), F.coalesce("source", F.lit("\x1e")))
     coarse = F.concat_ws("\x1f", F.lit("l"), F.coalesce("lang", F.lit("\x1e")))
     rows = stats.withColumn("fine", fine).withColumn("coarse", coarse)
-    sizes = rows.groupBy("fine", "coarse").agg(F.count("*").alias("n"))
-    sizes = sizes.withColumn("part", F.when(F.col("n") >= smallest, F.col("fine")).otherwise(F.col("coarse")))
-    # one row per language and source meets here, not the documents
-    pooled = F.sum("n").over(Window.partitionBy("part"))
-    sizes = sizes.select("fine", F.when(pooled >= smallest, F.col("part")).otherwise(F.lit("all")).alias("part"))
+    sizes = materialise(rows.groupBy("fine", "coarse").agg(F.count("*").alias("n")), "sizes")
+    languages = sizes.groupBy("coarse").agg(F.sum("n").alias("pooled"), (F.min("n") < smallest).alias("asked"))
+    languages = materialise(languages, "languages")
+    rare = languages.agg(F.coalesce(F.max(F.col("asked") & (F.col("pooled") < smallest)), F.lit(False)).alias("rare"))
+    enough, pooled = F.col("n") >= smallest, F.col("pooled") >= smallest
+    sizes = sizes.join(languages, "coarse").crossJoin(rare).select(
+        "fine", F.when(enough, F.col("fine")).when(pooled, F.col("coarse")).otherwise(F.lit("all")).alias("part"),
+        F.array_compact(F.array(
+            F.when(enough, F.col("fine")), F.when(F.col("asked") & pooled, F.col("coarse")),
+            F.when(F.col("rare"), F.lit("all")))).alias("parts"))
     return rows.join(materialise(sizes, "parts"), "fine").drop("fine", "coarse")
 
 
@@ -201,18 +207,19 @@ def judge(docs: DataFrame, steps: int = STEPS, beyond: float = BEYOND, smallest:
 
     base_failed: under 50 words, or over half of the words in repeated windows. Such rows, empty texts among them,
     are not kept and do not enter the estimates; if fewer than ``smallest`` rows remain in all, no other row goes.
-    Null languages and sources are groups of their own. Repeated rows count as often as they are there. No rows
+    Null languages and sources are groups of their own; see ``grouped`` for small ones. Repeated rows count as often as they are there. No rows
     give no rows.
     """
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     stats = materialise(statistics(docs).withColumn("base_failed", failed), "statistics")
     rows = materialise(grouped(stats.filter(~F.col("base_failed")), smallest), "vectors")
-    estimate = start(rows)
+    members = rows.withColumn("part", F.explode("parts")).drop("parts")
+    estimate = start(members)
     for _ in range(steps):
-        estimate = concentrated(rows, materialise(estimate, "step"))
+        estimate = concentrated(members, materialise(estimate, "step"))
     near = F.col("distance") <= chi_square(len(VECTOR), beyond)
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    passed = distances(rows, estimate).select(
+    passed = distances(rows.drop("parts"), estimate).select(
         *base, "distance", (near | (F.col("n") < smallest)).alias("kept"))
     return passed.unionByName(stats.filter("base_failed").select(
         *base, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept")))

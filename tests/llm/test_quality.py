@@ -44,6 +44,19 @@ def test_outliers_of_a_group_go_and_the_rest_stays(documents, prose):
     assert all(found[i] for i, *_ in usual + signs)
 
 
+def test_outliers_of_a_rare_language_or_source_go(documents, prose):
+    def odd(first, n, *group):
+        return [(first + i, " ".join(w + "%%%" for w in prose(first + i, 200).split()), *group) for i in range(n)]
+
+    usual = [(i, prose(i, 200) + ".", "en", "a") for i in range(1000)]
+    rare = [(2000, 20, "zz", "a"), (2100, 20, None, None), (2200, 20, "en", "b")]
+    plain_rare = [(3000 + i, prose(i, 200) + ".", ("zz", None, "en")[i % 3], "c") for i in range(30)]
+    away = [r for group in rare for r in odd(*group)]
+    found = {r.doc_id: r.kept for r in quality.judge(documents(usual + away + plain_rare)).collect()}
+    assert not any(found[i] for i, *_ in away)
+    assert all(found[i] for i, *_ in usual + plain_rare)
+
+
 def test_estimate_is_robust(spark):
     """A quarter of far rows moves neither centre nor spread of the others."""
     dice = np.random.default_rng(5)
