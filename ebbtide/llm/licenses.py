@@ -7,6 +7,7 @@ at all. All of it is Spark SQL; the templates are literals of the expression.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -72,10 +73,14 @@ def bigrams_of(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
 
 
+def bigrams_in_order(text: Column) -> Column:
+    plain = F.regexp_replace(F.lower(F.regexp_replace(text, HOLDER, "")), BETWEEN, " ")
+    return F.regexp_extract_all(plain, F.lit(PAIR), F.lit(1))
+
+
 def bigrams(unit: Column) -> Column:
     """The distinct word bigrams of a text."""
-    plain = F.regexp_replace(F.lower(F.regexp_replace(unit, HOLDER, "")), BETWEEN, " ")
-    return F.array_distinct(F.regexp_extract_all(plain, F.lit(PAIR), F.lit(1)))
+    return F.array_distinct(bigrams_in_order(unit))
 
 
 def units(text: Column) -> Column:
@@ -110,3 +115,42 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     by_name = hits.groupBy(ROW, "doc_id", "hit.license").agg(F.count("*").alias("units"), F.max("hit.score").alias("score"))
     one = F.when(F.col("license").isNotNull(), F.struct("license", "units", "score"))
     return by_name.groupBy(ROW, "doc_id").agg(F.sort_array(F.collect_list(one)).alias("licenses")).drop(ROW)
+
+
+def passages(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
+    """doc_id, license and score of every template that some run of words of a text is close to, wherever lines end.
+
+    A license spread over paragraphs, or a sentence inside a line, is found here and not by ``scan``. The score is
+    that of the best run; runs begin and end with bigrams of the template, as any other is no better without its
+    ends. A row of ``docs`` gives a row for each license found, none without; repeated rows each give theirs.
+    """
+    listed = []
+    for name, text in sorted(templates.items()):
+        own = bigrams_of(text)
+        # as in scored(), of bigrams shared and of bigrams in a run
+        fewest, longest = math.ceil(len(own) * least / (2 - least)), math.floor(len(own) * (2 - least) / least)
+        listed.append(F.struct(F.lit(name).alias("license"), F.array(*map(F.lit, own)).alias("own"),
+                               F.lit(fewest).alias("fewest"), F.lit(longest).alias("longest")))
+    rows = docs.select("doc_id", bigrams_in_order(text_of()).alias("pairs"))
+    rows = rows.select("doc_id", "pairs", F.explode(F.array(*listed)).alias("t")).select("doc_id", "pairs", "t.*")
+    rows = rows.filter(F.size(F.array_intersect("pairs", "own")) >= F.col("fewest"))
+    hits = F.filter(F.sequence(F.lit(0), F.size("pairs") - 1), lambda i: F.array_contains("own", F.get("pairs", i)))
+    rows = rows.select("doc_id", "license", "pairs", "own", "fewest", "longest", hits.alias("at"))
+
+    def span(k: Column, j: Column) -> Column:
+        return F.get("at", j) - F.get("at", k) + 1
+
+    def score(k: Column, j: Column) -> Column:
+        run = F.array_distinct(F.slice("pairs", F.get("at", k) + 1, span(k, j)))
+        return F.lit(2.0) * F.size(F.array_intersect(run, F.col("own"))) / (F.size(run) + F.size("own"))
+
+    def best_from(k: Column) -> Column:
+        # hits are places of the text, so there are no more than the longest run has
+        last = F.least(F.size("at"), k + F.col("longest")) - 1
+        ends = F.filter(F.sequence(k + F.col("fewest") - 1, last), lambda j: span(k, j) <= F.col("longest"))
+        return F.aggregate(ends, F.lit(0.0), lambda best, j: F.greatest(best, score(k, j)))
+
+    starts = F.filter(F.sequence(F.lit(0), F.size("at") - F.col("fewest")),
+                      lambda k: span(k, k + F.col("fewest") - 1) <= F.col("longest"))
+    best = F.aggregate(starts, F.lit(0.0), lambda best, k: F.greatest(best, best_from(k)))
+    return rows.select("doc_id", "license", best.alias("score")).filter(F.col("score") >= least)
