@@ -82,7 +82,10 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def described(docs: DataFrame, window: int) -> DataFrame:
-    """place (order of documents), mark (of the text), n_words, kept_sha256 and the prefixes of each row, stored."""
+    """place (order of documents), mark (of the text), n_words, kept_sha256 and the prefixes of each row, stored.
+
+    ``windows`` are the numbers of windows under each of ``prefixes``.
+    """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
@@ -91,12 +94,21 @@ def described(docs: DataFrame, window: int) -> DataFrame:
             for text in batch["text"]:
                 words = text.encode().split()
                 found = prefixes(words, known, window)
-                out.append((len(words), hashlib.sha256(b" ".join(words)).hexdigest(), np.unique(found)))
-            made = pd.DataFrame(out, columns=["n_words", "kept_sha256", "prefixes"])
+                out.append((len(words), hashlib.sha256(b" ".join(words)).hexdigest(),
+                            *np.unique(found, return_counts=True)))
+            made = pd.DataFrame(out, columns=["n_words", "kept_sha256", "prefixes", "windows"])
             yield pd.concat([batch.drop(columns="text"), made], axis=1)
 
     return materialise(docs.mapInPandas(
-        rows, "place long, mark long, missing boolean, n_words long, kept_sha256 string, prefixes array<long>"), "described")
+        rows, "place long, mark long, missing boolean, n_words long, kept_sha256 string, prefixes array<long>, "
+        "windows array<long>"), "described")
+
+
+def shared_prefixes(filed: DataFrame, crowded: int) -> DataFrame:
+    """prefix and crowded of the prefixes in several places, from rows (place, prefix, windows)."""
+    found = filed.groupBy("prefix").agg(
+        F.min("place").alias("least"), F.max("place").alias("most"), F.sum("windows").alias("n")).filter("least < most")
+    return found.select("prefix", (F.col("n") > crowded).alias("crowded"))
 
 
 def _named(words: np.ndarray, depth: int) -> np.ndarray:
@@ -246,11 +258,11 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED, t
     every = materialise(every.join(firsts, "kept_sha256", "left").withColumn(
         "copy", F.coalesce(F.col("first") < F.col("place"), F.lit(False))).drop("first"), "copies")
 
-    filed = every.filter(~F.col("copy")).select("place", "mark", F.explode("prefixes").alias("prefix"))
-    shared = filed.groupBy("prefix").agg(
-        F.min("place").alias("least"), F.max("place").alias("most"), F.count("*").alias("n")).filter("least < most")
-    shared = materialise(shared.select("prefix", (F.col("n") > crowded).alias("crowded")), "shared")
-    hits = filed.join(shared, "prefix").distinct().groupBy("place", "mark").agg(
+    filed = every.filter(~F.col("copy")).select("place", "mark", F.inline(F.arrays_zip(
+        F.col("prefixes").alias("prefix"), F.col("windows").alias("windows"))))
+    filed = filed.toDF("place", "mark", "prefix", "windows")
+    shared = materialise(shared_prefixes(filed, crowded), "shared")
+    hits = filed.drop("windows").join(shared, "prefix").distinct().groupBy("place", "mark").agg(
         F.collect_list(F.struct("prefix", "crowded")).alias("shared"))
     candidates = materialise(named.select("place", "mark", "text").join(
         materialise(hits, "hits"), ["place", "mark"]).dropDuplicates(["place", "mark"]), "candidates")
@@ -272,7 +284,7 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED, t
     changed = changed.withColumn("changed_sha256", F.sha2(F.encode("kept_text", "UTF-8"), 256))
     if not texts:
         changed = changed.drop("kept_text")
-    found = every.drop("prefixes").join(materialise(changed, "changed"), ["place", "mark"], "left")
+    found = every.drop("prefixes", "windows").join(materialise(changed, "changed"), ["place", "mark"], "left")
     kept = [F.when(F.col("copy"), F.lit("")).otherwise(F.col("kept_text")).alias("kept_text")] if texts else []
     kind = docs.schema["doc_id"].dataType
     return found.select(

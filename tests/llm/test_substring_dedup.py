@@ -72,3 +72,16 @@ def test_equal_windows_have_equal_prefixes(prose):
     hashes = np.fromiter(map(known.__getitem__, passage), dtype=np.uint64)
     grams = dedup._rolled(hashes, 8, dedup._ODD[0])
     assert dedup.prefixes(passage, known).view(np.uint64).tolist() == [int(grams[a : a + 43].min()) for a in range(21)]
+
+
+def test_crowded_prefixes_are_told_by_their_windows(spark, documents):
+    """Two texts that repeat one word have few rows under their prefix and many windows."""
+    rows = [(1, "same " * 300), (2, "same " * 120 + "end"), (3, " ".join(f"w{i}" for i in range(60))), (4, "x " + " ".join(f"w{i}" for i in range(60)))]
+    texts = documents(rows).selectExpr("doc_id AS place", "doc_id AS mark", "false AS missing", "text")
+    filed = dedup.described(texts, 50).selectExpr("place", "inline(arrays_zip(prefixes, windows))").toDF("place", "prefix", "windows")
+    assert {r.place: r.n for r in filed.groupBy("place").agg({"windows": "sum"}).toDF("place", "n").collect()} == {1: 251, 2: 72, 3: 11, 4: 12}
+    shared = dedup.shared_prefixes(filed, 100).collect()
+    same = dedup.prefixes([b"same"] * 50, dedup.WordHashes())[0]
+    assert {r.prefix for r in shared if r.crowded} == {same} and len(shared) > 1
+    found = dedup.deduplicate(documents(rows), 50, 100).collect()
+    assert sorted(map(tuple, found), key=repr) == plain(rows, 50)
