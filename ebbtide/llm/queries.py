@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, html_text, licenses, mixing, packing, quality, secrets, simhash, substring_dedup, toxicity
+from . import (
+    alignment, exact_dedup, hard_negatives, html_text, licenses, mixing, ngram_join, packing, quality, secrets, simhash,
+    substring_dedup, toxicity)
 from .common import ROW, read, stored_rows
 
 
@@ -73,6 +75,19 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(read(spark, folder, "pages"))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_groups(read(spark, folder, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(read(spark, folder, "embeddings"))
+
+
 WORDS_SQL = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 TEMPLATES_SQL = ", ".join(
@@ -115,6 +130,29 @@ SELECT doc_id, size, source_size, target,
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesce(text, '') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, text_sha256 FROM d WINDOW g AS (PARTITION BY t)""",
+    "op12_ngram_join": r"""
+WITH RECURSIVE words AS (SELECT row_number() OVER () AS i, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT i, doc_id, list_distinct([w[k : least(k + 2, len(w))] for k in range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)]) AS own FROM words),
+listed AS (SELECT i, len(own) AS n, unnest(own) AS shingle FROM sets),
+links AS (SELECT a.i AS u, b.i AS v FROM listed a JOIN listed b USING (shingle) WHERE a.i <> b.i GROUP BY a.i, b.i, a.n, b.n
+          HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach(i, j) AS (SELECT i, i FROM sets UNION SELECT r.i, l.v FROM reach r JOIN links l ON l.u = r.j)
+SELECT s.doc_id, len(s.own)::BIGINT AS n_shingles, min(t.doc_id) AS component_id
+FROM sets s JOIN reach r ON r.i = s.i JOIN sets t ON t.i = r.j GROUP BY s.i, s.doc_id, s.own""",
+    "op13_hard_negatives": """
+WITH rows AS (SELECT row_number() OVER () AS i, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                     [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+              WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (SELECT a.i AS anchor, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+           FROM rows a JOIN rows b ON a.i <> b.i WHERE a.vec_id % 100 = 0),
+near AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS k FROM scored WHERE same),
+far AS (SELECT n.anchor_id, n.vec_id AS positive_id, s.vec_id AS negative_id, n.score AS positive_score, s.score AS negative_score,
+               row_number() OVER (PARTITION BY n.anchor, n.k ORDER BY s.score DESC, s.vec_id) AS rank
+        FROM near n JOIN scored s ON s.anchor = n.anchor AND NOT s.same WHERE n.k <= 5
+         AND 30 * n.score <= 100 * s.score AND 100 * s.score <= 90 * n.score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM far WHERE rank <= 10""",
 }
 
 
