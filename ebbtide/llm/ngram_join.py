@@ -13,13 +13,12 @@ in the second all pairs that pass and are not yet connected are asked for, so no
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ebbtide.session import materialise
 
@@ -39,21 +38,7 @@ CROWDED = 4096
 MEMBERS = 64
 #: Rows of prefixes that a task compares at once, unless one shingle has more.
 BLOCK = 1 << 15
-#: Distinct words whose hashes a task remembers; longer words are hashed anew each time.
-REMEMBERED = 1 << 17
-LONG_WORD = 64
-
-
-class WordHashes(dict):
-    """word -> 64-bit hash, remembered within bounds."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word, 7)
-        if len(word) <= LONG_WORD:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = value
-        return value
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -67,16 +52,18 @@ def _stirred(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_set(words: list[bytes], known: WordHashes, n: int = WORDS) -> np.ndarray:
+def shingle_set(words: list[bytes], n: int = WORDS) -> np.ndarray:
     """Hashes of the distinct shingles, sorted; all words are one shingle if they are fewer than ``n``."""
     if not words:
         return np.zeros(0, dtype=np.uint64)
     n = min(n, len(words))
-    hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-    out = np.full(len(words) - n + 1, n, dtype=np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
+    out, odd = np.full(len(words) - n + 1, n, dtype=np.uint64), np.uint64(1)
     for k in range(n):
-        out = _stirred(out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + len(out)])
-    return np.unique(out)
+        odd *= _ODD[k % 3]
+        out += hashes[k : k + len(out)] * odd
+    out = np.sort(_stirred(out))
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def name_of(found: np.ndarray) -> tuple[int, int]:
@@ -103,23 +90,29 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
     of_id = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, counts = WordHashes(), np.zeros(BUCKETS, dtype=np.int64)
+        counts = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
             sizes, names = [], []
             for text in batch["text"]:
-                found = shingle_set(words_of(text), known, n)
+                found = shingle_set(words_of(text), n)
                 np.add.at(counts, (found >> shift).astype(np.int64), 1)
                 sizes.append(len(found))
                 names.append(name_of(found))
             one, two = zip(*names) if names else ((), ())
-            yield pd.DataFrame({"kind": "document", ROW: batch[ROW], "doc_id": batch["doc_id"], "n": sizes, "one": one, "two": two})
+            yield batch.drop(columns="text").assign(kind="document", n=sizes, one=one, two=two)
         full = np.flatnonzero(counts)
         for at in range(0, len(full), 1 << 16):
             own = full[at : at + (1 << 16)]
-            yield pd.DataFrame({"kind": "bucket", ROW: None, "doc_id": None, "n": counts[own], "one": own, "two": 0})
+            yield pd.DataFrame({"kind": "bucket", ROW: None, "doc_id": None, "mark": None, "second": None, "n": counts[own], "one": own, "two": 0})
+
+    rows = docs.select(F.monotonically_increasing_id().alias(ROW), "doc_id", *_marks(), text_of().alias("text"))
+    return materialise(rows.mapInPandas(
+        run, f"kind string, {ROW} long, doc_id {of_id}, mark long, second long, n long, one long, two long"), "sets", ("kind",))
 
-    rows = docs.select(F.monotonically_increasing_id().alias(ROW), "doc_id", text_of().alias("text"))
-    return materialise(rows.mapInPandas(run, f"kind string, {ROW} long, doc_id {of_id}, n long, one long, two long"), "sets", ("kind",))
+
+def _marks() -> list:
+    """128 bits that stand for a text."""
+    return [F.xxhash64(text_of()).alias("mark"), F.xxhash64(F.lit(1), text_of()).alias("second")]
 
 
 def _frequency(buckets: DataFrame) -> bytes:
@@ -135,16 +128,18 @@ def _prefixes(docs: DataFrame, frequency: bytes, n: int, num: int) -> DataFrame:
     shift = np.uint64(64 - (BUCKETS - 1).bit_length())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, often = WordHashes(), np.frombuffer(frequency, dtype=np.uint8)
+        often = np.frombuffer(frequency, dtype=np.uint8)
         for batch in batches:
             out, seen = [], set()
             for text in batch["text"]:
-                found = shingle_set(words_of(text), known, n)
+                found = shingle_set(words_of(text), n)
                 name = name_of(found)
                 if not len(found) or name in seen:
                     continue
                 seen.add(name)
-                first = found[np.lexsort((found, often[(found >> shift).astype(np.int64)]))][: prefix_length(len(found), num)]
+                # stable: equally frequent ones stay in the order of their hashes
+                order = np.argsort(often[(found >> shift).astype(np.int64)], kind="stable")
+                first = found[order[: prefix_length(len(found), num)]]
                 out.append((*name, len(found), xxhash.xxh3_128_digest(first.tobytes(), seed=len(found)), first.view(np.int64), parities(found)))
             yield pd.DataFrame(out, columns=["one", "two", "n", "key", "prefix", "bits"])
 
@@ -236,45 +231,53 @@ def _meet(num: int, stars: bool):
     return run
 
 
+def _places(groups: DataFrame, num: int) -> DataFrame:
+    """Stored (token, part, n, place, count of members) of the prefixes, where another row of the token is near in size."""
+    every = groups.select("part", "n", F.size("members").alias("count"), F.posexplode("prefix").alias("place", "token"))
+    by_size = Window.partitionBy("token").orderBy("n", "part")
+    before, after = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    near = (100 * before >= num * F.col("n")) | (100 * F.col("n") >= num * after)
+    met = every.withColumn("near", near).filter("near").drop("near")
+    # members of one group meet under a token of their own
+    inside = groups.groupBy("key").agg(F.sum(F.size("members")).alias("count")).filter("count > 1").select("key")
+    own = groups.join(inside, "key").select(
+        "part", "n", F.size("members").alias("count"), F.lit(0).alias("place"), F.col("key").alias("token"))
+    return materialise(met.unionByName(own), "places")
+
+
 def _pairs(places: DataFrame, groups: DataFrame, num: int, stars: bool) -> DataFrame:
-    """Stored distinct pairs (u, v) of members that may link, from places (token, part, place) and groups."""
-    counts = materialise(places.join(groups.select("part", F.size("members").alias("members")), "part").groupBy("token").agg(
-        F.sum("members").alias("count")).filter(F.col("count") > CROWDED).select(
+    """Stored distinct pairs (u, v) of members that may link, from the rows of ``_places`` and groups."""
+    counts = materialise(places.groupBy("token").agg(F.sum("count").alias("count")).filter(F.col("count") > CROWDED).select(
         "token", F.ceil(F.col("count") / (CROWDED // 2)).cast("int").alias("parts")), "crowded")
     parts = F.coalesce("parts", F.lit(1))
-    dealt = places.join(counts, "token", "left").withColumn("side", F.pmod(F.xxhash64("part"), parts).cast("int"))
+    dealt = places.drop("count").join(counts, "token", "left").withColumn("side", F.pmod(F.xxhash64("part"), parts).cast("int"))
     # the rows of a crowded shingle meet in all pairs of sides
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).select(
-        "token", "part", "place", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-    rows = dealt.withColumn("cross", F.col("i") < F.col("j")).join(groups.select("part", "n", "members"), "part")
+        "token", "part", "n", "place", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+    rows = dealt.withColumn("cross", F.col("i") < F.col("j")).join(groups.select("part", "members"), "part")
     rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     return materialise(rows.mapInPandas(_meet(num, stars), "u long, v long").distinct(), "pairs")
 
 
-def _texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """id and text of the wanted (id, one, two), stored.
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id and text of the wanted (id, mark, second), stored.
 
     A bit map of bounded size spares most other texts the way to the join.
     """
-    bits = {r["at"]: r["bits"] for r in wanted.select(F.pmod("one", F.lit(WANTED)).alias("bit")).groupBy(
-        F.expr("bit div 64").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).toLocalIterator()}
     words = np.zeros(WANTED // 64, dtype=np.int64)
-    words[list(bits)] = list(bits.values())
+    bit = F.col("mark").bitwiseAND(WANTED - 1)
+    for at, bits in wanted.select(F.shiftright(bit, 6).alias("at"), F.expr(f"shiftleft(1L, cast(mark & {WANTED - 1} & 63 as int))").alias(
+            "bits")).groupBy("at").agg(F.bit_or("bits")).toLocalIterator():
+        words[at] = bits
     packed = words.tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, marked = WordHashes(), np.unpackbits(np.frombuffer(packed, dtype=np.uint8), bitorder="little")
-        for batch in batches:
-            out, seen = [], set()
-            for text in batch["text"]:
-                one, two = name_of(shingle_set(words_of(text), known, n))
-                if marked[one % WANTED] and (one, two) not in seen:
-                    seen.add((one, two))
-                    out.append((one, two, text))
-            yield pd.DataFrame(out, columns=["one", "two", "text"])
+    @F.pandas_udf("boolean")
+    def marked(mark: pd.Series) -> pd.Series:
+        own = mark.to_numpy() & (WANTED - 1)
+        return pd.Series(((np.frombuffer(packed, dtype=np.uint8)[own >> 3] >> (own & 7)) & 1).astype(bool))
 
-    found = docs.select(text_of().alias("text")).mapInPandas(run, "one long, two long, text string")
-    return materialise(found.join(wanted, ["one", "two"]).select("id", "text").dropDuplicates(["id"]), "texts")
+    found = docs.select(*_marks(), text_of().alias("text")).filter(marked("mark")).dropDuplicates(["mark", "second"])
+    return materialise(found.join(wanted, ["mark", "second"]).select("id", "text"), "texts")
 
 
 def exact_set(text: str, n: int = WORDS) -> set:
@@ -288,7 +291,7 @@ def exact_set(text: str, n: int = WORDS) -> set:
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, num: int) -> DataFrame:
     """The pairs whose words are similar enough, stored."""
     wanted = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-    texts = _texts(docs, materialise(wanted.join(classes.select("id", "one", "two"), "id"), "wanted"), n)
+    texts = _texts(docs, materialise(wanted.join(classes.select("id", "mark", "second"), "id"), "wanted"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, held = None, set()
@@ -317,21 +320,16 @@ def similar_groups(docs: DataFrame, n: int = WORDS, num: int = NUM) -> DataFrame
     """
     bounded_batches(docs.sparkSession)
     stored = _described(docs, n)
-    every = stored.filter("kind = 'document'").select(ROW, "doc_id", "n", "one", "two")
+    every = stored.filter("kind = 'document'").drop("kind")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id")).alias("first")
-    classes = materialise(every.filter("n > 0").groupBy("one", "two").agg(F.min(ROW).alias("id"), first), "classes")
+    own = F.min(F.struct(ROW, "mark", "second")).alias("own")
+    classes = materialise(every.filter("n > 0").groupBy("one", "two").agg(own, first).select(
+        "one", "two", F.col(f"own.{ROW}").alias("id"), "own.mark", "own.second", "first"), "classes")
 
     frequency = _frequency(stored.filter("kind = 'bucket'"))
     sets = _prefixes(docs, frequency, n, num).join(classes.select("one", "two", "id"), ["one", "two"]).drop("one", "two")
     groups = materialise(_grouped(materialise(sets, "prefixes")), "groups")
-    places = groups.select("part", "key", F.posexplode("prefix").alias("place", "token"))
-    shared = materialise(places.groupBy("token").agg(F.min("key").alias("least"), F.max("key").alias("most"))
-                         .filter("least < most").select("token"), "shared")
-    # members of one group meet under a token of their own
-    inside = groups.groupBy("key").agg(F.sum(F.size("members")).alias("count")).filter("count > 1").select("key")
-    own = groups.join(inside, "key").select("part", F.lit(0).alias("place"), F.col("key").alias("token"))
-    places = materialise(places.join(shared, "token", "left_semi").select("part", "place", "token").unionByName(own), "places")
-
+    places = _places(groups, num)
     alone = F.transform("members", lambda m: F.struct(m["id"].alias("id"), m["bits"].alias("bits"), m["id"].alias("root")))
     links = _verified(_pairs(places, groups.withColumn("members", alone), num, True), docs, classes, n, num)
     roots = materialise(components(links), "roots")
@@ -341,6 +339,7 @@ def similar_groups(docs: DataFrame, n: int = WORDS, num: int = NUM) -> DataFrame
     rooted = materialise(rooted.groupBy("part").agg(
         F.first("n").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"),
         F.collect_list(F.struct("id", "bits", "root")).alias("members")), "rooted")
+    # what is connected already needs no second look
     open_ = places.join(rooted.select("part", "least", "most"), "part").groupBy("token").agg(
         F.min("least").alias("least"), F.max("most").alias("most")).filter("least < most").select("token")
     left = materialise(places.join(materialise(open_, "open"), "token", "left_semi"), "left")
