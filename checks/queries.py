@@ -15,7 +15,7 @@ from pyspark.sql.types import DateType, DecimalType
 from ebbtide.functions import human_format
 from ebbtide.operators import (
     accounts, churn, clean, demographics, evaluate, grouped, outliers, panel, prepare, profile,
-    sample, training, trailing,
+    sample, training, trailing, trees,
 )
 from ebbtide.plans import fetch, modelling, monitoring, training_set
 from ebbtide.schemas import (
@@ -25,6 +25,7 @@ from ebbtide.schemas import (
 from ebbtide.session import materialise, new_folder
 from ebbtide import sources
 
+from . import models
 from .fixtures import Inputs
 from .oracle import (
     ACCOUNT, DATES, DEMOGRAPHICS, GROUPS, HISTORY, ID, MONTH, MONTHLY, TRANSACTION, YEAR, _human,
@@ -689,19 +690,30 @@ def split_by_hash(t):
     return parts[0].unionAll(parts[1])
 
 
-@query()
+FEATURES = [*PANEL_MEASURES, "new_customer_flag", "cif_missing_flag", "No_of_Acc_Held"]
+models.add_features(WIDE_SQL)
+_TRAIN = f"FROM {{features_w}} WHERE {_UNIT} >= {TEST_SIZE}"
+_FOREST = models.forest(f"SELECT {ID} AS id, {models.array([*FEATURES, *models.ENCODED])} AS x {_TRAIN}", SEED)
+
+
+def training_part(t: Inputs) -> DataFrame:
+    """The training part of the full feature table, all columns."""
+    return sample.split_by_hash(features(t)[0], TEST_SIZE, SEED)[0]
+
+
+@query(f"SELECT id AS {ID} FROM (SELECT id, score, max(score) FILTER (k = greatest(1, ceil((1.0::DOUBLE - 0.05::DOUBLE) * n))) OVER () AS cut "
+       f"FROM (SELECT *, row_number() OVER (ORDER BY score) AS k, count(*) OVER () AS n FROM ({_FOREST}))) WHERE score <= cut")
 def remove_outliers(t):
-    return outliers.remove_outliers(features(t)[0], 0.05).select(CUSTOMER)
+    return outliers.remove_outliers(training_part(t), 0.05, seed=SEED).select(CUSTOMER)
 
 
-@query()
+@query(f"SELECT id AS {ID}, round(score, 6) AS score FROM ({_FOREST})")
 def outlier_scores(t):
-    table = features(t)[0]
+    table = training_part(t)
     names = outliers.examined_columns(table)
-    return outliers.outlier_scores(table, names).select(CUSTOMER, F.round("outlier_score", 6).alias("score"))
+    return outliers.outlier_scores(table, names, seed=SEED).select(CUSTOMER, F.round("outlier_score", 6).alias("score"))
 
 
-FEATURES = [*PANEL_MEASURES, "new_customer_flag", "cif_missing_flag", "No_of_Acc_Held"]
 CORRELATED = [*PANEL_MEASURES, "No_of_Acc_Held", "churn_flag"]
 
 
@@ -712,10 +724,15 @@ def correlations(t):
     return rounded(prepare.correlations(stored_labelled(t), CORRELATED), ["r"])
 
 
-@query()
+_ALL_FEATURES = [*FEATURES, *models.ENCODED, *models.TRAILING]
+
+
+@query("SELECT column_name, kept FROM (" + models.elimination(
+    f"SELECT {ID} AS id, {models.array([*_ALL_FEATURES, 'churn_flag'])} AS x {_TRAIN}", _ALL_FEATURES, 0.9,
+    {ID: True, "YEAR": False, "MONTH": False, "CIF_CREATE": False, "churn_flag": True}) + ")")
 def select_uncorrelated(t):
-    """Each column of the full feature table, and whether it stays."""
-    table = features(t)[0]
+    """Each column of the full feature table, and whether it stays, as the training part decides."""
+    table = training_part(t)
     return _kept(table, prepare.select_uncorrelated(table, 0.9))
 
 
@@ -852,6 +869,30 @@ def score_with_stored_model(t):
     return rounded(training.score(model, test, columns), ["0_predicted_proba", "1_predicted_proba"])
 
 
+def _stored_trees(t):
+    """A stored model of boosted trees over the panel's features."""
+    return materialise(t.spark.createDataFrame(models.stored_trees(), models.STORED_FIELDS), "trees")
+
+
+@query(f"SELECT id AS {ID}, CAST(margin > 0 AS INT) AS churn_flag_predicted, round(1 / (1 + exp(-2 * margin)), 9) AS probability FROM ("
+       + models.walked(f"SELECT {ID} AS id, {models.array(FEATURES)} AS x FROM {{labelled_w}}") + ")")
+def score_stored_trees(t):
+    """Every labelled customer by a stored model, its nodes walked in Spark SQL."""
+    rows = stored_labelled(t).select(CUSTOMER, *FEATURES)
+    scored = trees.total_value(rows, trees.numbers(FEATURES), _stored_trees(t), 3, "margin")
+    return scored.select(CUSTOMER, (F.col("margin") > 0).cast("int").alias("churn_flag_predicted"),
+                         F.round(trees.boosted_probability(F.col("margin")), 9).alias("probability"))
+
+
+@query('SELECT "Feature", round("Value", 9) AS "Value" FROM (' + models.gains(FEATURES) + ')')
+def stored_trees_importances(t):
+    """Importances of the stored model, summed over its nodes; the names are columns of the labelled table."""
+    names = [c for c in stored_labelled(t).columns if c in FEATURES]
+    position = F.create_map(*[F.lit(x) for pair in enumerate(FEATURES) for x in pair if pair[1] in names])
+    found = trees.importances(_stored_trees(t), level_trees=False)
+    return found.select(position[F.col("feature")].alias("Feature"), F.round("value", 9).alias("Value"))
+
+
 @query("SELECT * FROM {conf}")
 def confusion_counts(t):
     return evaluate.confusion_counts(t.scored)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.clean import drop_present
 from ..operators.evaluate import classification_metrics, monitoring_table
 from ..operators.prepare import fill_missing
-from ..operators.training import score
+from ..operators.trees import score_stored
 from ..schemas import TARGET
 from .modelling import load_run
 
@@ -15,12 +15,13 @@ from .modelling import load_run
 def score_new_data(run: str, features: DataFrame, monitoring: bool) -> DataFrame:
     """Predictions of the run stored in the folder ``run`` for new customers, with the label when monitoring.
 
-    The columns are aligned with the stored ones, and scaled with the training set's statistics.
+    The columns are aligned with the stored ones, and scaled with the training set's statistics. The model is
+    read as tables and not loaded.
     """
     stored = load_run(features.sparkSession, run)
     known = features if monitoring else drop_present(features, [TARGET])
     scaled = stored.scaling.transform(fill_missing(known, stored.columns))
-    return score(stored.model, scaled, stored.columns)
+    return score_stored(features.sparkSession, f"{run}/model", scaled)
 
 
 def monitor(scored: DataFrame, run: str) -> DataFrame:
