@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import month_index
 from ..schemas import CUSTOMER
@@ -23,20 +23,27 @@ AGGREGATES = {
 }
 
 
-def _recent(panel: DataFrame, year: int, month: int, historical_months: int, names: list[str]) -> DataFrame:
-    """The months of the longest window with their ``age``, all of a customer's in one place.
+def _running(panel: DataFrame, year: int, month: int, historical_months: int, names: list[str]) -> DataFrame:
+    """One row per customer and month that has rows: ``age``, ``until`` and the aggregates of all months up to it.
 
-    At most ``historical_months`` narrow rows per customer are moved, so no customer is a burden,
-    and every grouping that follows happens where the rows are.
+    Windows are nested, so they are running aggregates from the youngest month on: every row enters each of them
+    once, and a window that begins where a customer has no row is the one before it. A row of age ``a`` so stands
+    for the windows of ``a + 1`` to ``until`` months. Narrow rows of the longest window are moved once, to the
+    customer; there are at most ``historical_months`` of a panel's for one.
     """
     now = year * 12 + month
     at = month_index(F.col("YEAR"), F.col("MONTH"))
     oldest = now - historical_months + 1
-    return (
-        panel.filter(F.col("YEAR").between((oldest - 1) // 12, year) & at.between(oldest, now))
-        .select(CUSTOMER, *names, (F.lit(now) - at).alias("age"))
-        .repartition(CUSTOMER)
-    )
+    recent = panel.filter(F.col("YEAR").between((oldest - 1) // 12, year) & at.between(oldest, now)).select(
+        CUSTOMER, *names, (F.lit(now) - at).alias("age"))
+    by_age = Window.partitionBy(CUSTOMER).orderBy("age")
+    running = by_age.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    older = F.lead("age").over(by_age)
+    return recent.select(
+        CUSTOMER, "age", older.alias("older"),
+        *[f(c).over(running).alias(f"{c}_{suffix}") for c in names for suffix, f in AGGREGATES.items()],
+    ).filter(F.col("older").isNull() | (F.col("older") > F.col("age"))).withColumn(
+        "until", F.coalesce("older", F.lit(historical_months))).drop("older")
 
 
 def trailing_long(
@@ -45,15 +52,13 @@ def trailing_long(
 ) -> DataFrame:
     """One row per customer and window length, columns ``<column>_<aggregate>``.
 
-    A row of age ``a`` months lies in the windows of ``a+1`` to ``h`` months, so it is repeated for
-    these and everything is one grouping. The standard deviation of a single month is null.
+    Rows are repeated for the windows they stand for after everything is summed up. The standard deviation of
+    a single month is null.
     """
     names = columns or TRAILING_COLUMNS
-    windows = F.sequence(F.col("age") + 1, F.lit(historical_months))
-    recent = _recent(panel, year, month, historical_months, names)
-    return recent.withColumn("months", F.explode(windows)).groupBy(CUSTOMER, "months").agg(
-        *[f(c).alias(f"{c}_{suffix}") for c in names for suffix, f in AGGREGATES.items()]
-    )
+    windows = F.explode(F.sequence(F.col("age") + 1, F.col("until")))
+    values = [f"{c}_{suffix}" for c in names for suffix in AGGREGATES]
+    return _running(panel, year, month, historical_months, names).select(CUSTOMER, windows.alias("months"), *values)
 
 
 def trailing_features(
@@ -62,17 +67,17 @@ def trailing_features(
 ) -> DataFrame:
     """One row per customer, columns ``<column>_l<i>m_<aggregate>``.
 
-    Each window of the long form travels as one struct and finds its place by its length, which
-    takes as many aggregates as there are windows and not as there are columns. The long form is
-    laid out by customer already, so the rows do not move again. A customer without a row in a
-    short window has nulls there.
+    Each window travels as one struct and finds its place by its length, which takes as many aggregates as there
+    are windows and not as there are columns. The rows lie sorted by customer already: they neither move nor are
+    sorted again. A customer without a row in a short window has nulls there.
     """
     names = columns or TRAILING_COLUMNS
-    long = trailing_long(panel, year, month, historical_months, names)
     values = [f"{c}_{suffix}" for c in names for suffix in AGGREGATES]
     windows = range(1, historical_months + 1)
-    of_length = {i: F.when(F.col("months") == i, F.col("window")) for i in windows}
-    wide = long.select(CUSTOMER, "months", F.struct(*values).alias("window")).groupBy(CUSTOMER).agg(
+    held = _running(panel, year, month, historical_months, names).select(
+        CUSTOMER, "age", "until", F.struct(*values).alias("window"))
+    of_length = {i: F.when((F.col("age") < i) & (F.col("until") >= i), F.col("window")) for i in windows}
+    wide = held.groupBy(CUSTOMER).agg(
         *[F.first(window, ignorenulls=True).alias(f"w{i}") for i, window in of_length.items()]
     )
     return wide.select(CUSTOMER, *[
