@@ -1,13 +1,14 @@
-"""Substring dedup by prefix-partitioned suffix trees.
-
-Words of which 50 in a row also start in a document with a smaller id are removed. Suffixes are entered where
-repeats can be found at all: of each window of 50 words, its eight-word gram with the least hash is the prefix
-under which the window is filed, and consecutive windows with the same one make a row that carries their words
-once. Equal windows have equal prefixes, so a prefix seen in one document only needs no tree, and those that
-occur in several split the suffixes into groups that fit in memory. Inside a group the nodes of the tree are
-named by doubling depths, 1, 2, 4 to 32 and then 50 words; a node of depth 50 over several documents is a
-repeat, and adjacent ones merge into maximal repeats. A prefix with too many suffixes is made longer, to all 50
-words of each window: such groups are one row per distinct window, combined before the shuffle.
+"""Substring dedup by suffix arrays of groups that share a prefix.
+
+Words of which 50 in a row also start in a document with a smaller id are removed. Only suffixes that can repeat
+are entered: of each window of 50 words, its eight-word gram with the least hash is the key under which the window
+is filed (a sample of the suffixes, and not the first words of each), and consecutive windows with the same one make
+a row that carries their words once. Equal windows have equal keys, so a key seen in one document only is not moved,
+and those that occur in several split the suffixes into groups that fit in memory. A group's suffixes are sorted
+into a suffix array with the common prefixes of neighbours; runs of neighbours that share 50 words are the deep
+internal nodes of its suffix tree, and stretches of such windows are maximal repeats. A key with too many windows is
+made longer, to all 50 words of each: then a node is a row per distinct window, known by 128 bits of its words and
+combined before the shuffle.
 
 Whole copies are found first, by the hash of all words, and enter no tree.
 """
@@ -21,6 +22,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from ebbtide.session import materialise
 
@@ -30,23 +32,20 @@ WINDOW = 50
 GRAM = 8
 #: Suffixes under one prefix beyond which the prefix is made longer.
 CROWDED = 20_000
-#: Words that a task names at once.
-BLOCK = 1 << 21
-#: Distinct words whose hashes a task remembers; beyond that it starts anew.
-REMEMBERED = 1 << 20
+#: Words that a task sorts at once.
+BLOCK = 1 << 18
+#: Windows that a task hands on at once.
+HANDED = 1 << 16
 NOTHING = hashlib.sha256(b"").hexdigest()
 _LAST = (1 << 63) - 1
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
 class WordHashes(dict):
-    """word -> 64-bit hash, remembered."""
+    """word -> 64-bit hash. Nothing is kept: hashing a word takes less than finding it in a large table."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word, 0)
-        return value
+        return xxhash.xxh64_intdigest(word)
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -62,11 +61,12 @@ def _rolled(hashes: np.ndarray, width: int, odd: int) -> np.ndarray:
     return _mixed(out)
 
 
-def prefixes(words: list[bytes], known: WordHashes, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
+def prefixes(words: list[bytes], known: WordHashes | None = None, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
     """For each window its prefix: the least hash among the grams in it, as a signed number."""
     if len(words) < window:
         return np.zeros(0, dtype=np.int64)
-    hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+    hash_of = xxhash.xxh64_intdigest if known is None else known.__getitem__
+    hashes = np.fromiter(map(hash_of, words), dtype=np.uint64, count=len(words))
     least, width, span = _rolled(hashes, gram, _ODD[0]), 1, window - gram + 1
     while 2 * width <= span:
         least, width = np.minimum(least[:-width], least[width:]), 2 * width
@@ -88,12 +88,11 @@ def described(docs: DataFrame, window: int) -> DataFrame:
     """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
         for batch in batches:
             out = []
             for text in batch["text"]:
                 words = text.encode().split()
-                found = prefixes(words, known, window)
+                found = prefixes(words, window=window)
                 out.append((len(words), hashlib.sha256(b" ".join(words)).hexdigest(),
                             *np.unique(found, return_counts=True)))
             made = pd.DataFrame(out, columns=["n_words", "kept_sha256", "prefixes", "windows"])
@@ -111,34 +110,56 @@ def shared_prefixes(filed: DataFrame, crowded: int) -> DataFrame:
     return found.select("prefix", (F.col("n") > crowded).alias("crowded"))
 
 
-def _named(words: np.ndarray, depth: int) -> np.ndarray:
-    """Equal numbers for equal runs of ``depth`` words; runs past the end are not to be used."""
-    names, now = words, 1
-
-    def doubled(by: int) -> np.ndarray:
-        after = np.concatenate([names[by:], np.zeros(by, dtype=np.int64)])[: len(names)]
-        return np.unique(names * (int(names.max()) + 1) + after, return_inverse=True)[1].astype(np.int64)
+def suffix_array(words: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all suffixes sorted by their first ``depth`` words, and what each shares with the one before it.
 
-    while 2 * now <= depth:
-        names, now = doubled(now), 2 * now
-    return doubled(depth - now) if now < depth else names
+    ``words`` are numbers; common prefixes count up to ``depth``. Suffixes are ranked by 1, 2, 4 ... words.
+    """
+    n = len(words)
+    ranks, spans = [words], [1]
+    while spans[-1] < depth:
+        by = min(spans[-1], depth - spans[-1])
+        after = np.full(n, -1, dtype=np.int64)
+        after[: n - by] = ranks[-1][by:]
+        ranks.append(np.unique(ranks[-1] * (int(ranks[-1].max()) + 2) + after + 1, return_inverse=True)[1].astype(np.int64))
+        spans.append(spans[-1] + by)
+    order = np.argsort(ranks[-1], kind="stable")
+    common = np.zeros(n, dtype=np.int64)
+    one, two = order[:-1], order[1:]
+    same = ranks[-1][one] == ranks[-1][two]
+    common[1:][same] = depth
+    # the others differ within depth: add up the largest spans that agree
+    left = np.flatnonzero(~same)
+    shared = np.zeros(len(left), dtype=np.int64)
+    for level in range(len(ranks) - 2, -1, -1):
+        i, j = one[left] + shared, two[left] + shared
+        inside = np.maximum(i, j) + spans[level] <= n
+        agree = inside & (ranks[level][np.where(inside, i, 0)] == ranks[level][np.where(inside, j, 0)])
+        shared += agree * spans[level]
+    common[1:][left] = np.minimum(shared, depth - 1)
+    return order, common
 
 
 def repeats(texts: list[str], places: np.ndarray, window: int) -> list[tuple[int, int, int]]:
     """(row, first word, word after the last) of what also starts in a row of a smaller place.
 
-    The nodes of depth ``window`` of the suffix tree of all rows, each with the smallest place it is seen in.
+    Runs of the suffix array with ``window`` words in common are nodes, each with the smallest place it is seen in.
     """
     split = [t.split(" ") for t in texts]
     sizes = np.array([len(s) for s in split])
     ends = np.cumsum(sizes)
     words = pd.factorize(np.array([w for s in split for w in s], dtype=object))[0].astype(np.int64)
-    row = np.repeat(np.arange(len(split)), sizes)
+    del split
+    row = np.repeat(np.arange(len(sizes)), sizes)
     at = np.arange(len(words)) - (ends - sizes)[row]
-    whole = np.flatnonzero(at + window <= sizes[row])
-    if not len(whole):
+    if not (at + window <= sizes[row]).any():
         return []
-    node = np.unique(_named(words, window)[whole], return_inverse=True)[1]
+    order, common = suffix_array(words, window)
+    node = np.empty(len(words), dtype=np.int64)
+    node[order] = np.cumsum(common < window)
+    # suffixes that leave their row are in no window
+    whole = np.flatnonzero(at + window <= sizes[row])
+    node = node[whole]
     least = np.full(node.max() + 1, _LAST, dtype=np.int64)
     np.minimum.at(least, node, places[row[whole]])
     taken = whole[places[row[whole]] > least[node]]
@@ -184,40 +205,61 @@ def _grow(window: int):
     return run
 
 
-def _crowd(window: int):
-    """Rows with crowded prefixes -> one row for each of their windows, under all of its words."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
-        for batch in batches:
-            for place, mark, start, text in zip(batch["place"], batch["mark"], batch["start"], batch["words"]):
-                hashes = [known[w] for w in text.encode().split(b" ")]
-                hashes = np.array(hashes, dtype=np.uint64)
-                one, two = (_rolled(hashes, window, odd).view(np.int64) for odd in _ODD[1:])
-                yield pd.DataFrame({"one": one, "two": two, "place": place, "mark": mark,
-                                    "start": np.arange(start, start + len(one))})
-
-    return run
-
-
 def suffixes(candidates: DataFrame, window: int) -> DataFrame:
-    """A row (prefix, crowded, place, mark, start, words) for each run of windows under a shared prefix."""
+    """Stored rows of two kinds, by ``crowded``, for the windows under shared keys.
+
+    A run of windows under one key is a row (prefix, place, mark, start, words). Under a crowded key each window is a
+    row (one, two, place, mark, start), known by 128 bits of its words.
+    """
+    columns = ["crowded", "prefix", "one", "two", "place", "mark", "start", "words"]
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
         for batch in batches:
-            out = []
+            out, each, held = [], [], 0
             for place, mark, text, shared in zip(batch["place"], batch["mark"], batch["text"], batch["shared"]):
                 words = text.encode().split()
-                found = prefixes(words, known, window)
+                found = prefixes(words, window=window)
                 wanted = {s["prefix"]: s["crowded"] for s in shared}
+                joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
                 for a, b in zip(*runs(found)):
                     key = int(found[a])
-                    if key in wanted:
-                        out.append((key, wanted[key], place, mark, int(a), b" ".join(words[a : b + window]).decode()))
-            yield pd.DataFrame(out, columns=["prefix", "crowded", "place", "mark", "start", "words"])
-
-    return candidates.mapInPandas(rows, "prefix long, crowded boolean, place long, mark long, start long, words string")
+                    if key not in wanted:
+                        continue
+                    if not wanted[key]:
+                        out.append((False, key, None, None, place, mark, int(a), b" ".join(words[a : b + window]).decode()))
+                        continue
+                    for at in range(a, b + 1, HANDED):
+                        last = min(at + HANDED, b + 1)
+                        first = np.concatenate([[0], ends])[at:last].tolist()
+                        names = b"".join([xxhash.xxh3_128_digest(joined[x : y - 1])
+                                          for x, y in zip(first, ends[at + window - 1 : last + window - 1].tolist())])
+                        one, two = np.frombuffer(names, dtype="<i8").reshape(-1, 2).T
+                        each.append(pd.DataFrame({"crowded": True, "prefix": None, "one": one, "two": two, "place": place,
+                                                  "mark": mark, "start": np.arange(at, last), "words": None}))
+                        held += last - at
+                        if held >= HANDED:
+                            yield pd.concat(each, ignore_index=True)
+                            each, held = [], 0
+            if each:
+                yield pd.concat(each, ignore_index=True)
+            yield pd.DataFrame(out, columns=columns)
+
+    return materialise(candidates.mapInPandas(
+        rows, "crowded boolean, prefix long, one long, two long, place long, mark long, start long, words string"), "suffixes", ("crowded",))
+
+
+def places(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with ``place``, a number that sorts like doc_id, null last; and the stored (doc_id, place), if numbered.
+
+    Whole numbers are their own place. Ids of other types, or up to the largest number, are numbered in order,
+    range by range.
+    """
+    kind = docs.schema["doc_id"].dataType
+    if isinstance(kind, IntegralType) and docs.agg(F.max("doc_id")).first()[0] != _LAST:
+        return docs.withColumn("place", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))), None
+    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct().repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    numbered = materialise(ids.withColumn("place", F.monotonically_increasing_id()), "places")
+    return docs.join(numbered, "doc_id", "left").withColumn("place", F.coalesce("place", F.lit(_LAST))), numbered
 
 
 def shortened(candidates: DataFrame) -> DataFrame:
@@ -245,12 +287,12 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED, t
     kept_text holds the remaining words joined by a space; it is null where nothing is removed, so that only
     changed texts move. Null and empty texts, and texts under ``window`` words, lose nothing. Rows that share a
     doc_id are one document: they don't shorten each other. A null doc_id comes after all others, such rows don't
-    shorten each other either. No rows give no rows.
+    shorten each other either. Ids may be of any type that sorts. No rows give no rows.
     """
     bounded_batches(docs.sparkSession)
-    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
     # rows are known by place and text: equal ones have equal results
-    named = docs.select(place.alias("place"), F.xxhash64(text_of()).alias("mark"), text_of().alias("text"),
+    given, numbered = places(docs.select("doc_id", "text"))
+    named = given.select("place", F.xxhash64(text_of()).alias("mark"), text_of().alias("text"),
                         F.col("doc_id").isNull().alias("missing"))
     every = described(named.select("place", "mark", "missing", "text"), window)
     firsts = materialise(every.filter(F.col("n_words") >= window).groupBy("kept_sha256").agg(
@@ -268,11 +310,11 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED, t
         materialise(hits, "hits"), ["place", "mark"]).dropDuplicates(["place", "mark"]), "candidates")
 
     entered = suffixes(candidates, window)
-    grown = entered.filter(~F.col("crowded")).repartition("prefix").sortWithinPartitions("prefix").mapInPandas(
+    apart = entered.filter(~F.col("crowded")).select("prefix", "place", "mark", "start", "words")
+    grown = apart.repartition("prefix").sortWithinPartitions("prefix").mapInPandas(
         _grow(window), "place long, mark long, start long, stop long")
     if shared.filter("crowded").take(1):
-        each = entered.filter("crowded").mapInPandas(_crowd(window), "one long, two long, place long, mark long, start long")
-        each = materialise(each, "windows")
+        each = entered.filter("crowded").select("one", "two", "place", "mark", "start")
         seen = materialise(each.groupBy("one", "two").agg(F.min("place").alias("least"), F.max("place").alias("most"))
                            .filter("least < most").drop("most"), "seen")
         grown = grown.unionByName(each.join(seen, ["one", "two"]).filter("place > least").select(
@@ -286,9 +328,12 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED, t
         changed = changed.drop("kept_text")
     found = every.drop("prefixes", "windows").join(materialise(changed, "changed"), ["place", "mark"], "left")
     kept = [F.when(F.col("copy"), F.lit("")).otherwise(F.col("kept_text")).alias("kept_text")] if texts else []
-    kind = docs.schema["doc_id"].dataType
+    if numbered is None:
+        found = found.withColumn("doc_id", F.when(~F.col("missing"), F.col("place")).cast(docs.schema["doc_id"].dataType))
+    else:
+        found = found.join(numbered, "place", "left")
     return found.select(
-        F.when(~F.col("missing"), F.col("place")).cast(kind).alias("doc_id"), "n_words",
+        "doc_id", "n_words",
         F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(F.col("copy"), F.lit(NOTHING)).otherwise(F.coalesce("changed_sha256", "kept_sha256")).alias("kept_sha256"),
         *kept)

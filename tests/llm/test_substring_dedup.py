@@ -85,3 +85,45 @@ def test_crowded_prefixes_are_told_by_their_windows(spark, documents):
     assert {r.prefix for r in shared if r.crowded} == {same} and len(shared) > 1
     found = dedup.deduplicate(documents(rows), 50, 100).collect()
     assert sorted(map(tuple, found), key=repr) == plain(rows, 50)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 5, 8, 50])
+def test_the_suffix_array_against_sorting(depth):
+    dice = random.Random(depth)
+    for n, kinds in ((1, 1), (2, 1), (40, 2), (200, 3), (120, 1), (90, 50)):
+        words = [dice.randrange(kinds) for _ in range(n)]
+        order, common = dedup.suffix_array(np.array(words, dtype=np.int64), depth)
+        parts = [words[i : i + depth] for i in order]
+        assert sorted(order.tolist()) == list(range(n)) and common[0] == 0
+
+        def shared(a, b):
+            k = 0
+            while k < min(len(a), len(b)) and a[k] == b[k]:
+                k += 1
+            return k
+
+        # suffixes that end within depth count as different, whole prefixes of depth as equal
+        for i in range(1, n):
+            known = shared(parts[i - 1], parts[i])
+            assert common[i] == known if len(parts[i]) == len(parts[i - 1]) == depth else common[i] <= known
+        groups = {}
+        for place, (i, fresh) in enumerate(zip(order, np.cumsum(common < depth))):
+            if i + depth <= n:
+                groups.setdefault(tuple(words[i : i + depth]), set()).add(int(fresh))
+        assert all(len(g) == 1 for g in groups.values()) and len(set.union(*groups.values(), set())) == len(groups)
+
+
+def test_ids_of_any_type(spark, prose):
+    words = prose(1, 80)
+    rows = [("b", words), ("a", "x " + words), ("c", words), (None, words + " y"), ("a", words)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    order = {None: None, "a": 1, "b": 2, "c": 3}
+    found = sorted((order[r.doc_id] or 99, r.n_words, r.n_removed, r.kept_sha256) for r in dedup.deduplicate(docs).collect())
+    assert found == sorted((i or 99, *r) for i, *r in plain([(order[i], t) for i, t in rows], 50))
+
+
+def test_the_largest_id_is_no_missing_one(documents, prose):
+    words = prose(1, 80)
+    rows = [((1 << 63) - 1, words), (None, words), (None, words), (5, prose(2, 70))]
+    found = {(r.doc_id, r.n_removed) for r in dedup.deduplicate(documents(rows)).collect()}
+    assert found == {((1 << 63) - 1, 0), (None, 80), (5, 0)}
