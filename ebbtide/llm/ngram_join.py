@@ -31,8 +31,9 @@ NUM = 90
 #: Counters of the frequency sketch and bits of the map of wanted classes; both are of this size for any corpus.
 BUCKETS = 1 << 18
 WANTED = 1 << 23
-#: Parity bits of a set.
-BITS = 1024
+#: Parity bits of a set: the power of two that is over this many times its size, at least LEAST_BITS.
+BITS = 2
+LEAST_BITS = 256
 #: Members listed under one shingle beyond which they are dealt to several tasks, and members of a row of a group.
 CROWDED = 4096
 MEMBERS = 64
@@ -80,8 +81,40 @@ def overlap(one, two, num: int = NUM):
     return -(-num * (one + two) // (100 + num))
 
 
+def width_of(size: int) -> int:
+    return max(LEAST_BITS, 1 << (BITS * size - 1).bit_length())
+
+
 def parities(found: np.ndarray) -> bytes:
-    return np.packbits(np.bincount((found & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes()
+    """For each rest of the hashes modulo the width, whether an odd number of shingles has it."""
+    width = width_of(len(found))
+    rests = (found & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits(np.bincount(rests, minlength=width) & 1, bitorder="little").tobytes()
+
+
+class BitMaps:
+    """Parities of many sets. Sets of like size have widths that differ by a factor of two at most."""
+
+    def __init__(self, maps: list[bytes]):
+        widths = np.fromiter(map(len, maps), dtype=np.int64, count=len(maps))
+        self.widths, self.rows, self.maps = widths, {}, {}
+        for width in np.unique(widths).tolist():
+            own, wider = np.flatnonzero(widths == width), np.flatnonzero(widths == 2 * width)
+            table = np.frombuffer(b"".join([maps[i] for i in own]), dtype=np.uint64).reshape(len(own), width // 8)
+            # halves of a wider map add up to the map of half its width
+            halves = np.frombuffer(b"".join([maps[i] for i in wider]), dtype=np.uint64).reshape(len(wider), 2, width // 8)
+            self.rows[width] = np.zeros(len(maps), dtype=np.int64)
+            self.rows[width][np.concatenate([own, wider])] = np.arange(len(own) + len(wider))
+            self.maps[width] = np.concatenate([table, halves[:, 0] ^ halves[:, 1]]) if len(wider) else table
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For each pair the bits that differ: no more than the shingles that do."""
+        widths, out = np.minimum(self.widths[a], self.widths[b]), np.zeros(len(a), dtype=np.int64)
+        for width in np.unique(widths).tolist():
+            own = np.flatnonzero((widths == width) & (np.maximum(self.widths[a], self.widths[b]) <= 2 * width))
+            rows, maps = self.rows[width], self.maps[width]
+            out[own] = np.bitwise_count(maps[rows[a[own]]] ^ maps[rows[b[own]]]).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def _described(docs: DataFrame, n: int) -> DataFrame:
@@ -169,14 +202,15 @@ def candidate_pairs(rows: pd.DataFrame, num: int, stars: bool) -> pd.DataFrame:
     sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
     flat = np.repeat(np.arange(len(rows)), sizes)
     ids = np.fromiter((m["id"] for own in lists for m in own), dtype=np.int64, count=len(flat))
-    bits = np.frombuffer(b"".join(m["bits"] for own in lists for m in own), dtype=np.uint64).reshape(len(flat), -1)
+    bits = [m["bits"] for own in lists for m in own]
     roots = np.fromiter((m["root"] for own in lists for m in own), dtype=np.int64, count=len(flat))
     keys = rows[["token", "i", "j"]].to_numpy()
     same = np.concatenate([[False], (keys[1:] == keys[:-1]).all(axis=1)])
     run = (np.cumsum(~same) - 1)[flat]
     n, place, side, cross = (rows[c].to_numpy()[flat] for c in ("n", "place", "side", "cross"))
     order = np.lexsort((ids, run))
-    run, n, place, side, cross, ids, roots, bits = (x[order] for x in (run, n, place, side, cross, ids, roots, bits))
+    run, n, place, side, cross, ids, roots = (x[order] for x in (run, n, place, side, cross, ids, roots))
+    maps = BitMaps([bits[i] for i in order])
     u, v = [], []
     best = np.full(len(ids), -1, dtype=np.int64)
     first = np.arange(len(ids))
@@ -193,8 +227,7 @@ def candidate_pairs(rows: pd.DataFrame, num: int, stars: bool) -> pd.DataFrame:
         ok &= 100 * np.minimum(n[a], n[b]) >= num * np.maximum(n[a], n[b])
         ok &= 1 + np.minimum(n[a] - place[a], n[b] - place[b]) - 1 >= least
         a, b, least = a[ok], b[ok], least[ok]
-        differ = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
-        near = differ <= n[a] + n[b] - 2 * least
+        near = maps.differ(a, b) <= n[a] + n[b] - 2 * least
         if stars:
             # later steps reach further back
             best[b[near]] = a[near]

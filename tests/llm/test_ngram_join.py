@@ -51,9 +51,9 @@ def corpus(prose):
     return rows
 
 
-@pytest.mark.parametrize("crowded, members, block, bits", [(4096, 64, 1 << 15, 1024), (10, 2, 8, 64)])
+@pytest.mark.parametrize("crowded, members, block, bits", [(4096, 64, 1 << 15, 256), (10, 2, 8, 64)])
 def test_against_all_pairs(documents, odd_rows, prose, rows, monkeypatch, crowded, members, block, bits):
-    for name, value in (("CROWDED", crowded), ("MEMBERS", members), ("BLOCK", block), ("BITS", bits)):
+    for name, value in (("CROWDED", crowded), ("MEMBERS", members), ("BLOCK", block), ("LEAST_BITS", bits)):
         monkeypatch.setattr(join, name, value)
     given = odd_rows + [(9000 + i, *r[1:]) for i, r in enumerate(odd_rows)] + corpus(prose)
     assert rows(join.similar_groups(documents(given))) == plain(given)
@@ -86,11 +86,16 @@ def test_equal_shingles_have_equal_hashes_and_bits_bound_the_difference(prose):
     differ = len(np.setxor1d(a, b))
     bits = [np.unpackbits(np.frombuffer(join.parities(x), dtype=np.uint8)) for x in (a, b)]
     assert 0 < (bits[0] != bits[1]).sum() <= differ
+    maps = join.BitMaps([join.parities(x) for x in (a, b, a[:40], b[: len(b) - 9])])
+    for i, x in enumerate((a, b, a[:40], b[: len(b) - 9])):
+        for k, y in enumerate((a, b, a[:40], b[: len(b) - 9])):
+            assert maps.differ(np.array([i]), np.array([k]))[0] <= len(np.setxor1d(x, y))
+    assert join.width_of(128) == 256 and join.width_of(129) == 512
     assert len(join.shingle_set([b"a", b"b"])) == 1 and not set(join.shingle_set([b"a", b"b"])) & set(join.shingle_set([b"a", b"b", b""]))
 
 
 def test_a_star_has_one_pair_for_each_member():
-    bits = b"\0" * (join.BITS // 8)
+    bits = b"\0" * (join.width_of(100) // 8)
     rows = pd.DataFrame({"token": 1, "i": 0, "j": 0, "side": 0, "cross": False, "n": 100, "place": 0,
                          "members": [[{"id": k, "bits": bits, "root": k}] for k in range(50)]})
     stars = join.candidate_pairs(rows, 90, True)
