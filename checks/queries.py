@@ -7,6 +7,7 @@ the same values.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -691,7 +692,8 @@ def split_by_hash(t):
 
 
 FEATURES = [*PANEL_MEASURES, "new_customer_flag", "cif_missing_flag", "No_of_Acc_Held"]
-models.add_features(WIDE_SQL)
+# the steps after this one read the features as they are, not as they are printed
+models.add_features(WIDE_SQL.replace(LONG_SQL, re.sub(rf"round\((\w+\(CAST\(\w+ AS DOUBLE\)\)), {ROUND}\)", r"\1", LONG_SQL)))
 _TRAIN = f"FROM {{features_w}} WHERE {_UNIT} >= {TEST_SIZE}"
 _FOREST = models.forest(f"SELECT {ID} AS id, {models.array([*FEATURES, *models.ENCODED])} AS x {_TRAIN}", SEED)
 
