@@ -36,6 +36,10 @@ NAMED = frozenset(
     "consent gdpr notice notices alert popup modal overlay sidebar nav navbar navigation menu breadcrumb breadcrumbs footer "
     "comment comments disqus respond replies related recommended share sharing social newsletter subscribe subscription "
     "login signup search pagination pager toolbar widget masthead contentinfo complementary".split())
+#: The only ones that count on an element inside running text, where other names belong to the text.
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion".split())
+#: Elements that may be a menu where all that they say is links.
+LISTS = frozenset("ul ol dl div section table".split())
 #: Elements that one of these starts anew.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -46,6 +50,10 @@ PARAGRAPH_ENDS = frozenset(
 SCOPES = frozenset("table td th li ul ol div section article main aside nav body html".split())
 CONTAINERS = frozenset("html body main article section div table tbody tr td center".split())
 SPLIT = re.compile(r"[^a-z]+")
+#: A comment as browsers end it; one without an end goes on to the end of the page.
+COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))", re.S)
+#: What starts a tag or a comment.
+OPENING = re.compile(r"<[a-zA-Z/!?]")
 #: First words of names that tell about a neighbour, as in has-sidebar.
 ABOUT = frozenset("has with no without is js".split())
 #: Elements whose text is not shown.
@@ -63,7 +71,8 @@ OUTWEIGHS = 4
 class _Lines(HTMLParser):
     """Nodes (parent, tag, area), areas (parent area, kind) and lines (node, parts, tags) of a page.
 
-    A part is (area, text). Text that is not shown is in no line.
+    A part is (area, text). Text that is not shown is in no line. ``linked`` has the characters inside links of each line.
+    Open elements are found by their places, per name, so that time grows with the page whatever its nesting.
     """
 
     def __init__(self) -> None:
@@ -71,19 +80,50 @@ class _Lines(HTMLParser):
         self.nodes: list[tuple[int, str, int]] = [(-1, "", 0)]
         self.areas: list[tuple[int, int]] = [(-1, PAGE)]
         self.open = [0]
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = [0]
+        self.blocks: list[int] = [0]
         self.lines: list[tuple[int, list[tuple[int, str]], int]] = []
+        self.linked: list[int] = []
+        self.in_links = 0
         self.parts: list[tuple[int, str]] = []
         self.tags = 0
 
     def cut(self) -> None:
         if any(data.strip() for _, data in self.parts):
-            self.lines.append((self.block(), self.parts, self.tags))
+            # the innermost open element that is not inline
+            self.lines.append((self.open[self.blocks[-1]], self.parts, self.tags))
+            self.linked.append(self.in_links)
             self.tags = 0
-        self.parts = []
+        self.parts, self.in_links = [], 0
+
+    def place(self, tag: str) -> int:
+        """Where the innermost open element of that name stands; 0 if there is none."""
+        found = self.places.get(tag)
+        return found[-1] if found else 0
+
+    def push(self, tag: str, area: int) -> None:
+        self.nodes.append((self.open[-1], tag, area))
+        at = len(self.open)
+        self.open.append(len(self.nodes) - 1)
+        self.places.setdefault(tag, []).append(at)
+        if tag in SCOPES:
+            self.scopes.append(at)
+        if tag not in INLINE:
+            self.blocks.append(at)
+
+    def leave(self, at: int) -> None:
+        """Close the open element at a place and all inside it."""
+        for n in self.open[at:]:
+            self.places[self.nodes[n][1]].pop()
+        del self.open[at:]
+        for places in (self.scopes, self.blocks):
+            while places[-1] >= at:
+                places.pop()
 
-    def block(self) -> int:
-        """The innermost open element that is not inline."""
-        return next(n for n in reversed(self.open) if self.nodes[n][1] not in INLINE)
+    def known(self, tag: str) -> str:
+        """The name that counts: a label outside of forms is a part of its sentence."""
+        return "span" if tag == "label" and not any(map(self.place, WRAPPERS)) else tag
 
     def kind(self, tag: str, attributes: list[tuple[str, str | None]]) -> int:
         """The kind of area that an element opens; PAGE if it opens none."""
@@ -92,7 +132,7 @@ class _Lines(HTMLParser):
         if tag in ("html", "body", "article", "main"):
             return PAGE
         found = PAGE
-        if tag in BESIDE or tag == "header" and not any(self.nodes[n][1] in ("article", "main") for n in self.open):
+        if tag in BESIDE or tag == "header" and not self.place("article") and not self.place("main"):
             found = ASIDE
         elif tag in WRAPPERS:
             found = WRAPPER
@@ -100,7 +140,7 @@ class _Lines(HTMLParser):
             if name in ("class", "id", "role") and value:
                 for token in value.lower().split():
                     words = SPLIT.split(token)
-                    if words[0] not in ABOUT and NAMED.intersection(words):
+                    if words[0] not in ABOUT and (ADVERTS if tag in INLINE else NAMED).intersection(words):
                         # a word among others may tell about a neighbour or a state
                         found = max(found, ASIDE if token in NAMED else WRAPPER)
             if name == "hidden" or name == "aria-hidden" and value == "true":
@@ -111,33 +151,32 @@ class _Lines(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        tag = self.known(tag)
         if tag == "br":
             self.parts.append((self.nodes[self.open[-1]][2], " "))
             return
         if tag not in INLINE:
             self.cut()
             closes = CLOSES.get(tag, set()) | ({"p"} if tag in PARAGRAPH_ENDS else set())
-            for at in range(len(self.open) - 1, 0, -1):
-                name = self.nodes[self.open[at]][1]
-                if name in closes:
-                    del self.open[at:]
-                    break
-                if name in SCOPES:
-                    break
+            at = max(map(self.place, closes), default=0)
+            if at and at >= self.scopes[-1]:
+                self.leave(at)
         if tag not in VOID:
             area = self.nodes[self.open[-1]][2]
             kind = NEVER if self.areas[area][1] == NEVER else self.kind(tag, attrs)
             if kind != PAGE and self.areas[area][1] != NEVER:
                 self.areas.append((area, kind))
                 area = len(self.areas) - 1
-            self.nodes.append((self.open[-1], tag, area))
-            self.open.append(len(self.nodes) - 1)
+            self.push(tag, area)
+
+    def parse_comment(self, i, report=True):
+        return COMMENT.match(self.rawdata, i).end()
 
     def parse_html_declaration(self, i):
         if not self.rawdata.startswith("<![", i):
-            return super().parse_html_declaration(i)
+            return super().parse_html_declaration(i) if self.rawdata.find(">", i) >= 0 else len(self.rawdata)
         # a comment up to the next '>', or up to ']]>' for character data of SVG and MathML; the page comes in one piece
-        foreign = self.rawdata.startswith("<![CDATA[", i) and any(self.nodes[n][1] in ("svg", "math") for n in self.open)
+        foreign = self.rawdata.startswith("<![CDATA[", i) and (self.place("svg") or self.place("math"))
         end = "]]>" if foreign else ">"
         at = self.rawdata.find(end, i + 3)
         return len(self.rawdata) if at < 0 else at + len(end)
@@ -150,21 +189,21 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
+        if not self.place(tag):
+            tag = self.known(tag)
         if tag not in INLINE:
             self.cut()
-        for at in range(len(self.open) - 1, 0, -1):
-            name = self.nodes[self.open[at]][1]
-            if name == tag:
-                del self.open[at:]
-                break
-            # a stray inline or paragraph end closes nothing around it
-            if (tag in INLINE or tag == "p") and name in SCOPES:
-                break
+        at = self.place(tag)
+        # a stray inline or paragraph end closes nothing around it
+        if at and (at > self.scopes[-1] or tag not in INLINE and tag != "p"):
+            self.leave(at)
 
     def handle_data(self, data):
         _, tag, area = self.nodes[self.open[-1]]
         if tag not in SILENT:
             self.parts.append((area, data))
+            if self.place("a"):
+                self.in_links += len(data.strip())
 
     def close(self):
         super().close()
@@ -256,13 +295,17 @@ def article(nodes: list[tuple[int, str, int]], lines: list[tuple[int, str, int,
             content = own
             break
     top = lines[content[0]][0] if content else 0
+    # all of these lie under the element in the end, so no way up is gone twice
+    under = {top}
     for i in content[1:]:
         node = lines[i][0]
-        while node != top:
+        while node not in under:
             if depth[node] > depth[top]:
+                under.add(node)
                 node = nodes[node][0]
             else:
                 top = nodes[top][0]
+                under.add(top)
     if around[top] >= 0:
         top = around[top]
         return top, headline(nodes, lines, top, scopes["main"])
@@ -298,10 +341,38 @@ def within(nodes: list[tuple[int, str, int]], top: int) -> list[bool]:
     return inside
 
 
+def menus(page: _Lines, lines: list[tuple[int, str, int, int]]) -> list[bool]:
+    """For each node whether it is in an element that says little but links, with no content line and no heading in it.
+
+    Articles and main elements have none: their authors put the links there.
+    """
+    size, linked, kept = ([0] * len(page.nodes) for _ in range(3))
+    content = set(content_lines(lines))
+    for i, (node, text, *_) in enumerate(lines):
+        size[node] += len(text)
+        linked[node] += min(len(text), page.linked[i])
+        kept[node] += bool(text) and page.linked[i] * 2 < len(text) and (i in content or page.nodes[node][1] in HEADINGS)
+    for n in range(len(page.nodes) - 1, 0, -1):
+        parent = page.nodes[n][0]
+        size[parent] += size[n]
+        linked[parent] += linked[n]
+        kept[parent] += kept[n]
+    around, out = marked(page.nodes), []
+    for n, (parent, tag, _) in enumerate(page.nodes):
+        own = tag in LISTS and around[n] < 0 and not kept[n] and 2 * linked[n] > size[n]
+        out.append(own or parent >= 0 and out[parent])
+    return out
+
+
 def main_text(html: str) -> str:
-    """The article's blocks, joined by two line feeds; empty if the page has no text."""
+    """The article's blocks, joined by two line feeds; empty if the page has no text.
+
+    A tag or comment that the page's end cuts off is dropped.
+    """
     page = _Lines()
-    page.feed(html)
+    after = html.rfind(">") + 1
+    cut = OPENING.search(html, after)
+    page.feed(html[: cut.start()] if cut else html)
     page.close()
     if not page.lines:
         return ""
@@ -310,10 +381,12 @@ def main_text(html: str) -> str:
     if len(shown) > 1:
         lines = read_lines(page, shown)
     top, begin = article(page.nodes, lines)
-    inside, out, begun = within(page.nodes, top), [], False
+    inside, out, begun, links = within(page.nodes, top), [], False, menus(page, lines)
+    if all(links[node] for node, text, *_ in lines if text and inside[node]):
+        links = [False] * len(links)
     for i, (node, text, *_) in enumerate(lines):
         begun = begun or inside[node]
-        if text and (inside[node] or i >= begin and not begun):
+        if text and not links[node] and (inside[node] or i >= begin and not begun):
             out.append(text)
     return "\n\n".join(out)
 

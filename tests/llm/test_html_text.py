@@ -1,5 +1,6 @@
 import html as entities
 import re
+import time
 
 import pytest
 
@@ -85,6 +86,34 @@ def test_an_article_inside_of_a_form_or_a_named_element(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<div id=top><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul></div><div id=main-col><h1>Head</h1><p>{LONG}<p>{MORE}"
+     "</div><div class=col-right><ul><li><a href=/1>An older story</a><li><a href=/2>Another one</a></ul></div>", blocks("Head", LONG, MORE)),
+    (f"<article><p>{LONG} See <a class='social'>this</a> link, and <span class=share>share</span> it.</p></article>",
+     blocks(LONG + "See this link, and share it.")),
+    (f"<article><p>{LONG} The <label>word</label> stays.</p></article>", blocks(LONG + "The word stays.")),
+    (f"<div><p>{LONG} <a href=x>{MORE}</a></p><ul><li>one<li><a href=y>two</a> and three</ul></div>",
+     blocks(LONG + MORE, "one", "two and three")),
+    ("<p>Good text.</p><!-- truncated", "Good text."), ("<p>Good text.</p><a href=x", "Good text."), ("<p>a<!-- c --!>b", "ab"),
+    ("<p>a<!-->b<!--->c<!-- > -->d", "abcd"), ("<p>a</", "a"), ("<p>1 < 2", "1 < 2"), ("<p>a<!doctype", "a"),
+    ("<i>a<div>b</i>c</div>d", "a\n\nbc\n\nd"), ("<a href=/>only a link</a>", "only a link"),
+])
+def test_menus_inline_names_and_cut_off_markup(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("unit", [
+    ("<div>", "</p>"), ("<div>", "</section>"), ("<a ", ""), ("<!--", ""), ("<!doctype ", ""), ("</a ", ""), ("<header>", ""), ("<b>", "x<hr>"),
+    ("<i><div><b>", "</i>"), ("<div>", "x</div>"), ("<ul>", "<li>x"), ("<![", ""), ("<p>x<b>", ""), ("<?", "")])
+def test_time_grows_with_the_page(unit):
+    """A hostile page of a megabyte."""
+    n = 1_000_000 // len("".join(unit))
+    begun = time.process_time()
+    html_text.main_text(unit[0] * n + unit[1] * n)
+    html_text.main_text((unit[0] + unit[1]) * n + ">")
+    assert time.process_time() - begun < 30
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20_000 + "deep") == "deep"
     text = "\n\n".join(f"p{i}" for i in range(20_000))
