@@ -27,6 +27,8 @@ CORE = 0.75
 STEPS = 3
 #: Groups with fewer rows are judged by the estimate of a larger one around them.
 SMALLEST = 200
+#: Rows that the least spreads count for: they hold a small group's spread wide, and add little to that of a large one.
+PRIOR = 40
 #: Chance of a normal row beyond the bound.
 BEYOND = 1e-7
 
@@ -193,7 +195,7 @@ def concentrated(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     for i, least in enumerate(VECTOR.values()):
         for j in range(i + 1):
             cell = F.col(f"v{i}_{j}") * wider
-            cells.append((cell + least**2 if i == j else cell).alias(f"c{i}_{j}"))
+            cells.append((cell + least**2 * (1 + PRIOR / F.col("k")) if i == j else cell).alias(f"c{i}_{j}"))
     counts = rows.groupBy("part").agg(F.count("*").alias("n"))
     return sums.select("part", *[f"m{i}" for i in range(size)], *cells).join(counts, "part")
 
@@ -206,8 +208,8 @@ def judge(docs: DataFrame, steps: int = STEPS, beyond: float = BEYOND, smallest:
     """The base counts of every row with base_failed, distance and kept.
 
     base_failed: under 50 words, or over half of the words in repeated windows. Such rows, empty texts among them,
-    are not kept and do not enter the estimates; if fewer than ``smallest`` rows remain in all, no other row goes.
-    Null languages and sources are groups of their own; see ``grouped`` for small ones. Repeated rows count as often as they are there. No rows
+    are not kept and do not enter the estimates. Every other row is judged, however few there are: the fewer, the
+    wider the least spreads. Null languages and sources are groups of their own; see ``grouped`` for small ones. Repeated rows count as often as they are there. No rows
     give no rows.
     """
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -219,7 +221,6 @@ def judge(docs: DataFrame, steps: int = STEPS, beyond: float = BEYOND, smallest:
         estimate = concentrated(members, materialise(estimate, "step"))
     near = F.col("distance") <= chi_square(len(VECTOR), beyond)
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    passed = distances(rows.drop("parts"), estimate).select(
-        *base, "distance", (near | (F.col("n") < smallest)).alias("kept"))
+    passed = distances(rows.drop("parts"), estimate).select(*base, "distance", near.alias("kept"))
     return passed.unionByName(stats.filter("base_failed").select(
         *base, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept")))
