@@ -45,6 +45,28 @@ def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(name, str(rows))
 
 
+#: Bits of a map of wanted keys, 8 MB for any corpus; beyond as many keys it spares less, and loses none.
+WANTED = 1 << 26
+
+
+def likely(rows: DataFrame, key: Column, wanted: DataFrame, name: str, bits: int = WANTED) -> DataFrame:
+    """``rows`` with a boolean column ``name``, true wherever ``key`` may be among the one column of ``wanted``.
+
+    Wanted keys set bits of a map, in rows of 4 KB each that are aggregated on the executors and broadcast: at most
+    ``bits`` / 8 bytes. Whoever reads the column moves few rows to an exact join, and none that must stay.
+    """
+    place = F.pmod(F.xxhash64(wanted.columns[0]), F.lit(bits))
+    map_ = wanted.select(place.alias("_place")).groupBy(F.bitmap_bucket_number("_place").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
+    map_ = materialise(map_, "map")
+    found = rows.withColumn("_place", F.pmod(F.xxhash64(key), F.lit(bits))).withColumn(
+        "_own", F.bitmap_bucket_number("_place")).join(F.broadcast(map_), F.col("_own") == F.col("_bucket"), "left")
+    at = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = found.withColumn(name, F.coalesce(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1, F.lit(False)))
+    return found.drop("_place", "_own", "_bucket", "_bits")
+
+
 def travels(module: str) -> None:
     """Send the functions of ``module`` to Python workers by value: workers need no copy of the package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

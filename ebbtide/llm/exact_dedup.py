@@ -3,7 +3,7 @@
 A text is cut into chunks of bytes. A chunk ``b`` that ends ``e`` bytes before the end of its text adds
 ``B**e * sum(b[i] * B**(len(b) - 1 - i))`` modulo a prime; the sum over the chunks is the polynomial
 fingerprint of the whole text, so chunks can be hashed anywhere, in any order. Two primes below 2**31 make 62
-bits; together with the length they form the key of a group. Groups are then compared chunk by chunk: the
+bits; together with the length they form the key of a group. Groups of several rows are then compared chunk by chunk: the
 smallest and the largest content of each chunk position must agree. Both are plain aggregates, combined before
 the shuffle, so a group of any size costs one row per map task and chunk, and no task ever holds a group or a
 whole huge text. Members of a group whose chunks disagree (a collision) are told apart by SHA-256.
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.session import materialise
 
-from .common import ROW, stored_rows, text_of, travels
+from .common import ROW, likely, stored_rows, text_of, travels
 
 CHUNK = 1 << 16
 PRIMES = (2_147_483_647, 2_147_483_629)
@@ -76,21 +76,33 @@ def chunks(rows: DataFrame, *columns: str) -> DataFrame:
     return cut.mapInArrow(hash_chunks, f"{fields}, h1 long, h2 long")
 
 
-def combine(parts: DataFrame, *columns: str) -> DataFrame:
+def by_length(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of one chunk, and of several. They part before they are hashed, so that each chunk is hashed once."""
+    short = F.octet_length(text_of()) <= CHUNK
+    return rows.filter(short), rows.filter(~short)
+
+
+def fingerprints(rows: DataFrame, *columns: str) -> DataFrame:
     """The fingerprints of whole texts from those of their chunks; only texts of several chunks are shuffled."""
     keys = [ROW, *columns, "n_bytes"]
-    one = parts.filter(F.col("n_bytes") <= CHUNK).select(*keys, F.col("h1").alias("f1"), F.col("h2").alias("f2"))
-    many = parts.filter(F.col("n_bytes") > CHUNK).groupBy(*keys).agg(
-        (F.sum("h1") % PRIMES[0]).alias("f1"), (F.sum("h2") % PRIMES[1]).alias("f2"))
-    return one.unionByName(many)
+    one, many = (chunks(part, *columns).drop("chunk") for part in by_length(rows))
+    return one.select(*keys, F.col("h1").alias("f1"), F.col("h2").alias("f2")).unionByName(many.groupBy(*keys).agg(
+        (F.sum("h1") % PRIMES[0]).alias("f1"), (F.sum("h2") % PRIMES[1]).alias("f2")))
 
 
 def colliding(rows: DataFrame, prints: DataFrame) -> DataFrame:
-    """Keys (f1, f2, n_bytes) under which different texts meet, by comparing chunk after chunk."""
-    parts = chunks(rows)
-    one = parts.filter(F.col("n_bytes") <= CHUNK).withColumnsRenamed({"h1": "f1", "h2": "f2"})
-    many = parts.filter(F.col("n_bytes") > CHUNK).drop("h1", "h2").join(
-        prints.filter(F.col("n_bytes") > CHUNK).select(ROW, "f1", "f2"), ROW)
+    """Keys (f1, f2, n_bytes) under which different texts meet, by comparing chunk after chunk.
+
+    Only texts whose key some other row has too are read again, and the few that the map of those rows lets through
+    beside them.
+    """
+    key = ["f1", "f2", "n_bytes"]
+    again = materialise(prints.groupBy(*key).count().filter("count > 1").select(key), "repeated")
+    # stored, so that Spark can split a hot key
+    again = materialise(prints.select(ROW, *key).join(again, key, "left_semi"), "again")
+    short, long = by_length(likely(rows, F.col(ROW), again.select(ROW), "_near").filter("_near"))
+    one = chunks(short).withColumnsRenamed({"h1": "f1", "h2": "f2"})
+    many = chunks(long).drop("h1", "h2").join(again.filter(F.col("n_bytes") > CHUNK).select(ROW, "f1", "f2"), ROW)
     columns = ["f1", "f2", "n_bytes", "position", "chunk"]
     compared = one.select(columns).unionByName(many.select(columns)).groupBy("f1", "f2", "n_bytes", "position").agg(
         F.min("chunk").alias("least"), F.max("chunk").alias("most"))
@@ -105,8 +117,7 @@ def exact_groups(rows: DataFrame) -> DataFrame:
     exactly one stays. Other columns are not looked at. No rows give no rows.
     """
     named = rows.select(ROW, "doc_id", "text", F.sha2(F.encode(text_of(), "UTF-8"), 256).alias("text_sha256"))
-    parts = chunks(named, "doc_id", "text_sha256").drop("chunk")
-    prints = materialise(combine(parts, "doc_id", "text_sha256"), "fingerprints")
+    prints = materialise(fingerprints(named, "doc_id", "text_sha256"), "fingerprints")
     key = ["f1", "f2", "n_bytes"]
     # stored, like the groups below, so that the join reads two plain shuffles, of which Spark can split a hot key
     apart = materialise(colliding(rows, prints), "collisions").withColumn("apart", F.lit(True))
