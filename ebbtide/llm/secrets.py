@@ -16,7 +16,9 @@ from re import _constants as op, _parser as parser
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import text_of
+from ebbtide.session import materialise
+
+from .common import likely, text_of
 
 #: Alternatives of a run of literals, and members of a character class, that a query spells out.
 ALTERNATIVES = 64
@@ -152,20 +154,27 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
 
     Null and empty texts have no spans. Rows that share a doc_id are searched for what any of them may hold, each
     with its own result. Spans of different rules may overlap; they are ordered by start, then rule.
+
+    Rules without trigrams search every text where it is read. Of the other texts only those that a map of the
+    candidates lets through are moved to meet their rules.
     """
+    none = F.array().cast("array<struct<start:int,rank:int,stop:int,kind:string>>")
+
+    def searched(rule: Rule, wanted: Column) -> Column:
+        text = F.col("text")
+        return F.when(wanted & text.rlike(rule.pattern), spans(text, rule, rules.index(rule))).otherwise(none)
+
     indexed = tuple(r for r in rules if trigram_query(r.pattern))
+    free = [searched(r, F.lit(True)) for r in rules if r not in indexed]
     rows = docs.select("doc_id", text_of().alias("text"))
-    if indexed:
-        held = candidates(docs, indexed).withColumnRenamed("doc_id", "holder")
-        rows = rows.join(held, F.col("doc_id").eqNullSafe(F.col("holder")), "left").drop("holder")
-    none = F.array().cast("array<struct<start:int,rank:int,stop:int,kind:string>>")
-    found = []
-    for rank, rule in enumerate(rules):
-        wanted = F.col("text").rlike(rule.pattern)
-        if rule in indexed:
-            wanted = F.coalesce(F.array_contains("rules", rule.name), F.lit(False)) & wanted
-        found.append(F.when(wanted, spans(F.col("text"), rule, rank)).otherwise(none))
-    return rows.select("doc_id", F.sort_array(F.concat(*found)).alias("found"))
+    if not indexed:
+        return rows.select("doc_id", F.sort_array(F.concat(none, *free)).alias("found"))
+    held = materialise(candidates(docs, indexed).withColumnRenamed("doc_id", "holder"), "candidates")
+    rows = likely(rows, F.col("doc_id"), held.select("holder"), "near").select(
+        "doc_id", F.concat(none, *free).alias("free"), F.when(F.col("near"), F.col("text")).alias("text"))
+    rows = rows.join(held, F.col("doc_id").eqNullSafe(F.col("holder")), "left").drop("holder")
+    found = [searched(r, F.coalesce(F.array_contains("rules", r.name), F.lit(False))) for r in indexed]
+    return rows.select("doc_id", F.sort_array(F.concat("free", *found)).alias("found"))
 
 
 def written(found: Column) -> Column:
