@@ -88,3 +88,11 @@ def test_estimate_is_robust(spark):
 
 def test_chi_square():
     assert abs(quality.chi_square(6, 0.05) - 12.592) < 0.05 and abs(quality._chi_square_below(6, 12.592) - 0.95) < 0.01
+
+
+def test_outliers_of_a_small_table_go(documents, prose):
+    usual = [(i, prose(i, 200) + ".", "en", "a") for i in range(150)]
+    odd = [(2000 + i, " ".join(w + "%%%" for w in prose(i, 200).split()), "en", "a") for i in range(20)]
+    found = {r.doc_id: r.kept for r in quality.judge(documents(usual + odd)).collect()}
+    assert not any(found[i] for i, *_ in odd)
+    assert all(found[i] for i, *_ in usual)
