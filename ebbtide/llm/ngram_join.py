@@ -5,7 +5,8 @@ same for all sets. Here rare shingles come first: a count per hash bucket tells
 one class; classes whose prefixes and sizes are the same form one group, and only groups are listed under the
 shingles of their prefixes. Groups that meet are filtered by size and place in the prefix, then expanded into members,
 which are filtered by the parities of their shingles in a bit map: bits that differ are a lower bound of shingles
-that differ. What passes is verified on the words.
+that differ. Short maps travel with the prefixes, whole ones with the pairs these let through. What passes is verified
+on the words.
 
 Components need no list of all pairs. In the first round each member asks for the earliest member it may link with;
 in the second all pairs that pass and are not yet connected are asked for, so no link between components is lost.
@@ -92,6 +93,15 @@ def parities(found: np.ndarray) -> bytes:
     return np.packbits(np.bincount(rests, minlength=width) & 1, bitorder="little").tobytes()
 
 
+def shortened(bits: bytes) -> bytes:
+    """The map of a quarter of the width, LEAST_BITS at least: halves of a map add up to the map of half its width."""
+    for _ in range(2):
+        if len(bits) * 8 > LEAST_BITS:
+            half = np.frombuffer(bits, dtype=np.uint8).reshape(2, -1)
+            bits = (half[0] ^ half[1]).tobytes()
+    return bits
+
+
 class BitMaps:
     """Parities of many sets. Sets of like size have widths that differ by a factor of two at most."""
 
@@ -157,7 +167,7 @@ def _frequency(buckets: DataFrame) -> bytes:
 
 
 def _prefixes(docs: DataFrame, frequency: bytes, n: int, num: int) -> DataFrame:
-    """one, two, n, key (of group), prefix and bits of each distinct set."""
+    """one, two, n, key (of group), prefix, bits and shortened bits of each distinct set."""
     shift = np.uint64(64 - (BUCKETS - 1).bit_length())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -173,15 +183,15 @@ def _prefixes(docs: DataFrame, frequency: bytes, n: int, num: int) -> DataFrame:
                 # stable: equally frequent ones stay in the order of their hashes
                 order = np.argsort(often[(found >> shift).astype(np.int64)], kind="stable")
                 first = found[order[: prefix_length(len(found), num)]]
-                out.append((*name, len(found), xxhash.xxh3_128_digest(first.tobytes(), seed=len(found)), first.view(np.int64), parities(found)))
-            yield pd.DataFrame(out, columns=["one", "two", "n", "key", "prefix", "bits"])
+                out.append((*name, len(found), xxhash.xxh3_128_digest(first.tobytes(), seed=len(found)), first.view(np.int64), bits := parities(found), shortened(bits)))
+            yield pd.DataFrame(out, columns=["one", "two", "n", "key", "prefix", "bits", "short"])
 
     return docs.select(text_of().alias("text")).mapInPandas(
-        run, "one long, two long, n long, key binary, prefix array<long>, bits binary").dropDuplicates(["one", "two"])
+        run, "one long, two long, n long, key binary, prefix array<long>, bits binary, short binary").dropDuplicates(["one", "two"])
 
 
 def _grouped(sets: DataFrame) -> DataFrame:
-    """Groups of sets of one size and prefix: part (names a row), n, prefix, members (id and bits).
+    """Groups of sets of one size and prefix: part (names a row), n, prefix, members (id and shortened bits).
 
     A group with many members has several rows.
     """
@@ -190,7 +200,7 @@ def _grouped(sets: DataFrame) -> DataFrame:
     parts = sets.join(many, "key", "left").withColumn("deal", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))))
     return parts.groupBy("key", "deal").agg(
         F.min("id").alias("part"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-        F.collect_list(F.struct("id", "bits")).alias("members")).select("part", F.xxhash64("key").alias("key"), "n", "prefix", "members")
+        F.collect_list(F.struct("id", F.col("short").alias("bits"))).alias("members")).select("part", F.xxhash64("key").alias("key"), "n", "prefix", "members")
 
 
 def candidate_pairs(rows: pd.DataFrame, num: int, stars: bool) -> pd.DataFrame:
@@ -292,6 +302,27 @@ def _pairs(places: DataFrame, groups: DataFrame, num: int, stars: bool) -> DataF
     return materialise(rows.mapInPandas(_meet(num, stars), "u long, v long").distinct(), "pairs")
 
 
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
+
+
+def _narrowed(pairs: DataFrame, sets: DataFrame, num: int) -> DataFrame:
+    """The pairs that may link by their whole bit maps, stored.
+
+    Only shortened maps travel with the prefixes, once per shingle; whole ones meet the pairs that are left, once.
+    """
+    maps = materialise(sets.join(_ids(pairs), "id").select("id", "n", "bits"), "maps")
+    both = pairs.join(maps.toDF("u", "one", "left"), "u").join(maps.toDF("v", "two", "right"), "v")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            one, two, at = batch["one"].to_numpy(), batch["two"].to_numpy(), np.arange(len(batch))
+            apart = BitMaps([*batch["left"], *batch["right"]]).differ(at, at + len(batch))
+            yield batch.loc[apart <= one + two - 2 * overlap(one, two, num), ["u", "v"]]
+
+    return materialise(both.mapInPandas(run, "u long, v long"), "narrowed")
+
+
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """id and text of the wanted (id, mark, second), stored.
 
@@ -323,8 +354,7 @@ def exact_set(text: str, n: int = WORDS) -> set:
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, num: int) -> DataFrame:
     """The pairs whose words are similar enough, stored."""
-    wanted = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-    texts = _texts(docs, materialise(wanted.join(classes.select("id", "mark", "second"), "id"), "wanted"))
+    texts = _texts(docs, materialise(_ids(pairs).join(classes.select("id", "mark", "second"), "id"), "wanted"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, held = None, set()
@@ -361,10 +391,12 @@ def similar_groups(docs: DataFrame, n: int = WORDS, num: int = NUM) -> DataFrame
 
     frequency = _frequency(stored.filter("kind = 'bucket'"))
     sets = _prefixes(docs, frequency, n, num).join(classes.select("one", "two", "id"), ["one", "two"]).drop("one", "two")
-    groups = materialise(_grouped(materialise(sets, "prefixes")), "groups")
+    sets = materialise(sets, "prefixes")
+    groups = materialise(_grouped(sets), "groups")
     places = _places(groups, num)
     alone = F.transform("members", lambda m: F.struct(m["id"].alias("id"), m["bits"].alias("bits"), m["id"].alias("root")))
-    links = _verified(_pairs(places, groups.withColumn("members", alone), num, True), docs, classes, n, num)
+    firsts = _pairs(places, groups.withColumn("members", alone), num, True)
+    links = _verified(_narrowed(firsts, sets, num), docs, classes, n, num)
     roots = materialise(components(links), "roots")
 
     rooted = groups.select("part", "n", F.explode("members").alias("m")).select("part", "n", "m.id", "m.bits").join(
@@ -377,7 +409,7 @@ def similar_groups(docs: DataFrame, n: int = WORDS, num: int = NUM) -> DataFrame
         F.min("least").alias("least"), F.max("most").alias("most")).filter("least < most").select("token")
     left = materialise(places.join(materialise(open_, "open"), "token", "left_semi"), "left")
     asked = materialise(_pairs(left, rooted, num, False).join(links, ["u", "v"], "left_anti"), "asked")
-    roots = materialise(components(links.unionByName(_verified(asked, docs, classes, n, num))), "roots")
+    roots = materialise(components(links.unionByName(_verified(_narrowed(asked, sets, num), docs, classes, n, num))), "roots")
 
     reached = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     reached = materialise(reached.select("one", "two", "first", "root"), "reached")
