@@ -1,8 +1,8 @@
 """License scans by Dice coefficient over word bigrams.
 
-A unit of text, a line or a paragraph of several lines, is normalised and compared as a set of word bigrams to
-license templates. Twice the smaller set bounds what both share, so only templates of a similar size are compared
-at all. All of it is Spark SQL; the templates are literals of the expression.
+Texts are normalised, and runs of their words compared as sets of word bigrams to license templates. Twice the smaller
+set bounds what both share: only templates of which a text has enough are compared at all, and only to runs of a
+similar size. ``scan`` compares single lines and paragraphs instead, and counts them. All of it is Spark SQL; the templates are literals of the expression.
 """
 
 from __future__ import annotations
@@ -59,6 +59,29 @@ TEMPLATES = {
         "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
         "for any purpose, commercial or non-commercial, and by any means."),
 }
+# the whole texts of short licenses: the grant, then the disclaimer
+TEMPLATES |= {
+    "bsd-2-clause-text": TEMPLATES["bsd-2-clause"] + " " + (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+        "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    "isc-text": TEMPLATES["isc"] + " " + (
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING "
+        "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+        "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+        "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION "
+        "WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    "mit-text": TEMPLATES["mit"] + " " + (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED "
+        "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL "
+        "THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."),
+}
 LEAST = 0.8
 #: What separates words after lower-casing.
 BETWEEN = "[^a-z0-9]+"
@@ -117,25 +140,36 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     return by_name.groupBy(ROW, "doc_id").agg(F.sort_array(F.collect_list(one)).alias("licenses")).drop(ROW)
 
 
-def passages(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
-    """doc_id, license and score of every template that some run of words of a text is close to, wherever lines end.
+def bounds(own: list[str], least: float = LEAST) -> tuple[int, int]:
+    """The fewest bigrams that a text must share with a template, and the most that it may have."""
+    # 2 * shared / (a + b) >= least, where shared <= a and shared <= b
+    return math.ceil(len(own) * least / (2 - least) - 1e-9), math.floor(len(own) * (2 - least) / least + 1e-9)
+
+
+def in_texts(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
+    """doc_id and licenses, an array of (license, score), for every row of ``docs``: whole texts, wherever lines end.
 
-    A license spread over paragraphs, or a sentence inside a line, is found here and not by ``scan``. The score is
-    that of the best run; runs begin and end with bigrams of the template, as any other is no better without its
-    ends. A row of ``docs`` gives a row for each license found, none without; repeated rows each give theirs.
+    A template is found where some run of words is close to it, in one line, over several paragraphs or inside a
+    sentence. The score is that of the best run; runs begin and end with bigrams of the template, as any other is no
+    better without its ends. Sorted by name. Null and empty texts, and texts without a word pair, have none; repeated
+    rows each have their own result; no rows give no rows.
     """
-    listed = []
+    listed, known = [], {}
     for name, text in sorted(templates.items()):
         own = bigrams_of(text)
-        # as in scored(), of bigrams shared and of bigrams in a run
-        fewest, longest = math.ceil(len(own) * least / (2 - least)), math.floor(len(own) * (2 - least) / least)
+        known |= dict.fromkeys(own)
+        fewest, longest = bounds(own, least)
         listed.append(F.struct(F.lit(name).alias("license"), F.array(*map(F.lit, own)).alias("own"),
                                F.lit(fewest).alias("fewest"), F.lit(longest).alias("longest")))
-    rows = docs.select("doc_id", bigrams_in_order(text_of()).alias("pairs"))
-    rows = rows.select("doc_id", "pairs", F.explode(F.array(*listed)).alias("t")).select("doc_id", "pairs", "t.*")
-    rows = rows.filter(F.size(F.array_intersect("pairs", "own")) >= F.col("fewest"))
-    hits = F.filter(F.sequence(F.lit(0), F.size("pairs") - 1), lambda i: F.array_contains("own", F.get("pairs", i)))
-    rows = rows.select("doc_id", "license", "pairs", "own", "fewest", "longest", hits.alias("at"))
+    rows = docs.select(F.monotonically_increasing_id().alias(ROW), "doc_id", bigrams_in_order(text_of()).alias("pairs"))
+    # one look at a text tells which bigrams of any template it has; few texts have enough of one template
+    rows = rows.withColumn("shared", F.array_intersect("pairs", F.array(*map(F.lit, known))))
+    close = F.filter(F.array(*listed), lambda t: F.size(F.array_intersect("shared", t["own"])) >= t["fewest"])
+    close = F.when(F.size("shared") >= min(bounds(bigrams_of(t), least)[0] for t in templates.values()), close)
+    rows = rows.withColumn("t", F.explode_outer(close))
+    hits = F.filter(F.sequence(F.lit(0), F.size("pairs") - 1), lambda i: F.array_contains("t.own", F.get("pairs", i)))
+    rows = rows.select(ROW, "doc_id", F.col("t.license").alias("license"), F.col("t.own").alias("own"), F.col("t.fewest").alias("fewest"),
+                       F.col("t.longest").alias("longest"), "pairs", F.when(F.col("t").isNotNull(), hits).alias("at"))
 
     def span(k: Column, j: Column) -> Column:
         return F.get("at", j) - F.get("at", k) + 1
@@ -153,4 +187,11 @@ def passages(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: floa
     starts = F.filter(F.sequence(F.lit(0), F.size("at") - F.col("fewest")),
                       lambda k: span(k, k + F.col("fewest") - 1) <= F.col("longest"))
     best = F.aggregate(starts, F.lit(0.0), lambda best, k: F.greatest(best, best_from(k)))
-    return rows.select("doc_id", "license", best.alias("score")).filter(F.col("score") >= least)
+    rows = rows.select(ROW, "doc_id", "license", F.when(F.col("at").isNotNull(), best).alias("score"))
+    found = F.when(F.col("score") >= least, F.struct("license", "score"))
+    return rows.groupBy(ROW, "doc_id").agg(F.sort_array(F.collect_list(found)).alias("licenses")).drop(ROW)
+
+
+def passages(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
+    """doc_id, license and score: a row for each license that ``in_texts`` finds in a row of ``docs``, none without."""
+    return in_texts(docs, templates, least).select("doc_id", F.inline("licenses"))

@@ -35,11 +35,11 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    found = licenses.scan(read(spark, folder, "documents"))
     names = F.array_join(F.transform("licenses", lambda x: x["license"]), ",")
-    units = F.aggregate("licenses", F.lit(0).cast("long"), lambda n, x: n + x["units"])
     best = F.coalesce(F.array_max(F.transform("licenses", lambda x: x["score"])), F.lit(0.0))
-    return found.select("doc_id", names.alias("licenses"), units.alias("n_units"), F.round(best, 6).alias("best_score"))
+    return licenses.in_texts(read(spark, folder, "documents")).select(
+        "doc_id", names.alias("licenses"), F.size("licenses").cast("long").alias("n_licenses"),
+        F.round(best, 6).alias("best_score"))
 
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,23 +90,25 @@ def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
 
 WORDS_SQL = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
+OWN = {name: licenses.bigrams_of(text) for name, text in licenses.TEMPLATES.items()}
 TEMPLATES_SQL = ", ".join(
-    f"('{name}', [{', '.join(map(repr, licenses.bigrams_of(text)))}])" for name, text in licenses.TEMPLATES.items())
+    f"('{name}', [{', '.join(map(repr, own))}], {licenses.bounds(own)[0]}, {licenses.bounds(own)[1]})" for name, own in OWN.items())
 
 SQL = {
     "op3_license_scan": rf"""
-WITH templates(license, own) AS (VALUES {TEMPLATES_SQL}),
+WITH templates(license, own, fewest, longest) AS (VALUES {TEMPLATES_SQL}),
 rows AS (SELECT row_number() OVER () AS i, doc_id, coalesce(text, '') AS text FROM documents),
-units AS (SELECT i, unnest(list_concat(string_split(text, chr(10)),
-                  [x for x in regexp_split_to_array(text, '\n[\x20\x09-\x0D]*\n') if contains(x, chr(10))])) AS unit FROM rows),
 words AS (SELECT i, [x for x in regexp_split_to_array(lower(regexp_replace(
-            unit, '(?im)^[^a-z0-9]*copyright\b[^\n]*$', '', 'g')), '[^a-z0-9]+') if x <> ''] AS w FROM units),
-pairs AS (SELECT i, list_distinct([w[k] || ' ' || w[k + 1] for k in range(1, len(w))]) AS own FROM words),
-scores AS (SELECT i, license, 2.0::DOUBLE * len(list_intersect(p.own, t.own)) / (len(p.own) + len(t.own)) AS score
-           FROM pairs p, templates t),
-found AS (SELECT i, license, count(*) AS n, max(score) AS score FROM scores WHERE score >= 0.8 GROUP BY ALL)
+            text, '(?im)^[^a-z0-9]*copyright\b[^\n]*$', '', 'g')), '[^a-z0-9]+') if x <> ''] AS w FROM rows),
+pairs AS (SELECT i, [w[k] || ' ' || w[k + 1] for k in range(1, len(w))] AS p FROM words),
+near AS (SELECT i, p, t.* FROM pairs, templates t WHERE len(list_intersect(p, own)) >= fewest),
+hits AS (SELECT *, [k for k in range(1, len(p) + 1) if list_contains(own, p[k])] AS hit FROM near),
+ends AS (SELECT *, unnest(hit) AS b FROM (SELECT *, unnest(hit) AS a FROM hits)),
+runs AS (SELECT i, license, own, p[a:b] AS run FROM ends WHERE b >= a AND b - a < longest),
+scores AS (SELECT i, license, 2.0::DOUBLE * len(list_intersect(run, own)) / (len(list_distinct(run)) + len(own)) AS score FROM runs),
+found AS (SELECT i, license, max(score) AS score FROM scores WHERE score >= 0.8 GROUP BY ALL)
 SELECT doc_id, coalesce(string_agg(license, ',' ORDER BY license), '') AS licenses,
-       coalesce(sum(n), 0)::BIGINT AS n_units, round(coalesce(max(score), 0), 6) AS best_score
+       count(license)::BIGINT AS n_licenses, round(coalesce(max(score), 0), 6) AS best_score
 FROM rows LEFT JOIN found USING (i) GROUP BY i, doc_id""",
     "op4_mixing": f"""
 WITH sizes AS (SELECT doc_id, source, {WORDS_SQL}::BIGINT AS size FROM documents),

@@ -55,8 +55,13 @@ def test_passages_over_lines_and_paragraphs(documents, odd_rows, prose):
         (100, gpl), (101, "Copyright (c) 2020, Jane Doe\n\n" + bsd), (102, prose(1, 300) + "\n" + apache + "\n" + prose(2, 300)),
         (103, "This project was written by Jane Doe in 2019. Released under the MIT License."), (104, prose(1, 30) + " " + t["mit-line"]),
         (105, t["isc"].replace("software", "program").replace("fee", "any fee")), (106, prose(3, 500)), (100, gpl)]
+    rows += [(107, "Copyright (c) 2021 Jane Doe\n\n" + t["mit-text"].replace(" THE SOFT", "\n\nTHE SOFT") + "\n\n" + prose(4, 200))]
     found = sorted((r.doc_id, r.license, round(r.score, 9)) for r in licenses.passages(documents(rows)).collect())
+    every = licenses.in_texts(documents(rows)).collect()
+    assert sorted((r.doc_id for r in every), key=repr) == sorted((i for i, *_ in rows), key=repr)
+    assert sorted((r.doc_id, x.license, round(x.score, 9)) for r in every for x in r.licenses) == found
+    assert licenses.in_texts(documents([])).collect() == []
     want = [(i, name, round(runs(text, t[name]), 9)) for i, text, *_ in rows if i is not None and text for name in t]
     assert found == sorted(w for w in want if w[2] >= licenses.LEAST)
     assert {(100, "gpl-3.0-notice", 1.0), (101, "bsd-2-clause", 1.0), (102, "apache-2.0-notice", 1.0), (103, "mit-line", 1.0),
-            (104, "mit-line", 1.0)} <= set(found)
+            (104, "mit-line", 1.0), (107, "mit-text", 1.0), (107, "mit", 1.0)} <= set(found)
