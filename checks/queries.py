@@ -220,6 +220,50 @@ def write_table_csv(t):
     return sources.read_csv(t.spark, path, RAW_TRANSACTION)
 
 
+@query(f"SELECT {_plain(TRANSACTION)} FROM {{raw_transaction}} WHERE MONTH NOT IN (2, 5)")
+def read_table_with_log(t):
+    """A table laid out by month, whose log drops one month, is checkpointed and drops another."""
+    path = new_folder(t.spark, "logged")
+    t.raw_transaction.write.partitionBy("MONTH").parquet(path)
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+        "pathGlobFilter", "*.parquet").load(path).select(F.regexp_extract("path", r"(MONTH=[^/]+/[^/]+)$", 1).alias("path"))
+    of_month = F.regexp_extract("path", r"MONTH=(\d+)/", 1)
+    add = files.select(F.struct("path", F.create_map(F.lit("MONTH"), of_month).alias("partitionValues")).alias("add"))
+    table = F.struct(F.lit(t.raw_transaction.schema.json()).alias("schemaString"), F.array(F.lit("MONTH")).alias("partitionColumns"))
+    described = t.spark.range(1).select(table.alias("metaData"))
+
+    def removed(month: int) -> DataFrame:
+        return files.filter(of_month == month).select(F.struct("path").alias("remove"))
+
+    steps = [add.unionByName(described, True), removed(2), None, removed(5)]
+    steps[2] = add.filter(F.regexp_extract("add.path", r"MONTH=(\d+)/", 1) != 2).unionByName(described, True)
+    for version, step in enumerate(steps):
+        checkpoint = version == 2
+        # Spark names its files itself; a log has the version for a name
+        stored = new_folder(t.spark, "step")
+        writer = step.coalesce(1).write
+        (writer.parquet if checkpoint else writer.json)(stored)
+        rename_part(t.spark, stored, f"{path}/_delta_log/{version:020d}.{'checkpoint.parquet' if checkpoint else 'json'}")
+    return sources.read_table(t.spark, path, "delta").select(TRANSACTION)
+
+
+_RAW_DEMOGRAPHICS = f"SELECT CIF_CREATE, {_plain([c for c in DEMOGRAPHICS if c != 'CIF_CREATE'])}"
+
+
+@query(f"{_RAW_DEMOGRAPHICS}, 'now' AS seen FROM {{raw_demographics}} "
+       f"UNION ALL {_RAW_DEMOGRAPHICS}, 'before' FROM {{raw_demographics}}")
+def write_table_with_log(t):
+    """A table overwritten by a part of itself, added to, and read at its first and its last version."""
+    path = new_folder(t.spark, "published")
+    first = sources.write_delta(t.raw_demographics, path)
+    whole = sources.read_delta(t.spark, path)
+    sources.write_delta(whole.filter("GENDER = 'F'"), path)
+    sources.write_delta(whole.filter("NOT GENDER <=> 'F'"), path, "append")
+    now = sources.read_table(t.spark, path, "delta").withColumn("seen", F.lit("now"))
+    before = sources.read_delta(t.spark, path, first).withColumn("seen", F.lit("before"))
+    return now.unionByName(before).select(*DEMOGRAPHICS, "seen")
+
+
 @query(f"SELECT {_plain(ACCOUNT[:2] + ACCOUNT[3:4])}, DATE_OF_STATUS, AC_CREATE, STATUS_ID, PRODUCT_ID "
        f"FROM {{raw_account}} WHERE {ID} IN (SELECT {ID} FROM {{chosen}})")
 def sample_or_stored(t):
@@ -232,6 +276,15 @@ def sample_or_stored(t):
     return sources.sample_or_stored(t.spark, path, build, ["account"], reuse=True)["account"]
 
 
+def rename_part(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the one data file of a folder that Spark wrote."""
+    part = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("path").first().path
+    file = spark._jvm.org.apache.hadoop.fs.Path
+    system = file(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(file(target).getParent())
+    system.rename(file(part), file(target))
+
+
 def _csv_folders(t) -> fetch.RawFolders:
     """The raw tables as a bank's files: months apart, columns in another order, two names untranslated."""
     root = new_folder(t.spark, "raw")

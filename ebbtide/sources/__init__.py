@@ -1,5 +1,6 @@
 """Reading and writing tables."""
 
+from .delta import read_delta, write_delta
 from .months import (
     in_window, latest_period, latest_period_of_names, list_folders, observation_bounds,
     observation_window, scan_months,
@@ -10,6 +11,6 @@ from .tables import (
 
 __all__ = [
     "in_window", "latest_period", "latest_period_of_names", "list_folders", "observation_bounds",
-    "observation_window", "read_csv", "read_csv_text", "read_table", "sample_or_stored",
-    "scan_months", "unparsable_report", "write_table",
+    "observation_window", "read_csv", "read_csv_text", "read_delta", "read_table", "sample_or_stored",
+    "scan_months", "unparsable_report", "write_delta", "write_table",
 ]

@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..operators.clean import translate_columns
+from .delta import read_delta
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Any format the session has a reader for (``delta`` needs its package on the classpath)."""
-    return spark.read.format(fmt).load(path)
+    """Any format the session has a reader for; ``delta`` also where its package is not on the classpath."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except (PySparkException, Py4JJavaError) as error:
+        if fmt != "delta" or "DATA_SOURCE_NOT_FOUND" not in str(error):
+            raise
+    return read_delta(spark, path)
 
 
 def read_csv_text(
