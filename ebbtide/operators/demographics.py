@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .joins import look_up, unique_lookup
+from .ranks import with_rank
 
 # Birth years of the age groups, both ends included.
 AGE_GROUPS = {
@@ -85,14 +86,15 @@ def _categories(df: DataFrame, columns: list[str], most: int) -> list[tuple[str,
 def category_index(df: DataFrame, columns: list[str]) -> DataFrame:
     """``<column>_index``, the most frequent value first, then by value; nulls come after all values.
 
-    The index is a table of value counts, ranked and joined back: nothing is held by the driver. The
-    ranking puts one row per distinct value into one task, not the rows of ``df``.
+    The index is a table of value counts, ranked and joined back: neither the driver nor a task holds all
+    values.
     """
     for column in columns:
         counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(
             F.count("*").alias("_n"))
-        order = Window.orderBy(F.desc("_n"), F.col("_value").cast("string"))
-        index = counts.select("_value", (F.row_number().over(order) - 1).cast("double").alias(f"{column}_index"))
+        # values of which two read the same are told apart by themselves
+        order = [F.desc("_n"), F.col("_value").cast("string"), F.col("_value")]
+        index = with_rank(counts, order, "_rank").select("_value", F.col("_rank").cast("double").alias(f"{column}_index"))
         nulls = counts.agg(F.count("*").cast("double").alias(f"{column}_index")).select(
             F.lit(None).cast(counts.schema["_value"].dataType).alias("_value"), f"{column}_index")
         lookup = index.unionByName(nulls)
