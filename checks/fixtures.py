@@ -11,7 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.session import new_folder
+from ebbtide.session import bounded_partitions, new_folder
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "labels"]
 
@@ -151,6 +151,12 @@ FROM (
 }
 
 
+# The copies come from the rows themselves, so that lines are joined and added up once.
+FOR_SPARK["raw_transaction"] = """
+SELECT c.* FROM {raw_transaction_clean} c
+LATERAL VIEW explode(CASE WHEN CAST(HASHED_CIF AS INT) % 50 = 0 THEN array(1, 2) ELSE array(1) END) copies AS nth"""
+
+
 def reads(text: str) -> list[str]:
     """The tables and views named in a text."""
     return sorted(set(re.findall(r"\{(\w+)\}", text)))
@@ -170,6 +176,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        bounded_partitions(spark)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in VIEWS:

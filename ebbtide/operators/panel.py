@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import month_start
 from ..schemas import ACCOUNT, BALANCE, CUSTOMER
+from ..session import bounded_partitions
 from .clean import numeric_columns, zero_fill
 from .joins import match_keys
 
@@ -89,8 +90,9 @@ def fill_month_gaps(
     Each row itself spreads over the months up to the customer's next row, and the first one also
     back to the start. So there is no customer-by-month table to join with: one shuffle of the real
     rows by customer, which later windows by customer use again. ``panel`` has one row per customer
-    and month.
+    and month. The rows spread after the shuffle, so its parts are kept small.
     """
+    bounded_partitions(panel.sparkSession)
     first, last = bounds or range_bounds(panel)
     by_month = Window.partitionBy(CUSTOMER).orderBy(F.col("date").asc_nulls_last())
     up_to_now = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -76,6 +77,32 @@ def drop_stored(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of a shuffle that one task reads, and the least it reads where there are free cores.
+PARTITION, LEAST_PARTITION = 8 << 20, 1 << 16
+_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+
+
+def _bytes(setting: str) -> int:
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([bkmg]?)[a-z]*\s*", setting.lower()).groups()
+    return int(number) * _UNITS[unit or "b"]
+
+
+def bounded_partitions(spark: SparkSession) -> None:
+    """Tasks read small parts of a shuffle, and there are enough parts.
+
+    What arrives is compressed, and the rows of a customer's months take many times that when they are sorted. The
+    number of parts before Spark joins small ones is four times that of the session. Smaller settings stand.
+    """
+    for name, most, default in (("advisoryPartitionSizeInBytes", PARTITION, "64MB"),
+                                ("coalescePartitions.minPartitionSize", LEAST_PARTITION, "1MB")):
+        name = f"spark.sql.adaptive.{name}"
+        if _bytes(spark.conf.get(name, default)) > most:
+            spark.conf.set(name, f"{most}b")
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
