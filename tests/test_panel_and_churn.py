@@ -255,3 +255,9 @@ def test_merges(spark, rows):
     assert rows(out) == [("x", 2020, 5, 1, 2, None)]
     labels = churn.churn_label(series(spark, [1] * 7)).filter("MONTH = 4")
     assert churn.with_churn_label(out, labels, 2020, 5).first().churn_flag is None
+
+
+def test_groups_are_dealt_to_several_tasks(spark):
+    df = spark.range(64).select(F.col("id").cast("string").alias(CUSTOMER))
+    got = grouped.apply_per_group(df, [CUSTOMER], lambda pdf: pdf, f"{CUSTOMER} string")
+    assert got.select(F.spark_partition_id()).distinct().count() > 1 and got.count() == 64
