@@ -17,7 +17,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,17 +29,10 @@ from .common import bounded_batches, text_of, travels
 
 LENGTH = 1024
 END = 0
-#: Distinct words whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 1 << 19
 
 
-def byte_pair_encoder(vocabulary: str) -> Callable[[str], list[int]]:
-    """text -> ids of ordinary text, for the vocabulary of a ``.json`` tokenizer file.
-
-    The rank file beside it holds the same vocabulary in the form the faster library reads; tests compare the
-    two. A space between two other characters always starts a new token, so texts are cut there and the ids
-    of each distinct word are found once.
-    """
+def _ordinary_bytes(vocabulary: str) -> Callable[[str], bytes]:
+    """text -> ids of ordinary text as little-endian 32-bit numbers, see ``byte_pair_encoder``."""
     import base64
 
     import tiktoken
@@ -49,50 +41,50 @@ def byte_pair_encoder(vocabulary: str) -> Callable[[str], list[int]]:
     with open(os.path.splitext(vocabulary)[0] + ".tiktoken", "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    known: dict[str, list[int]] = {}
-
-    def encode(text: str) -> list[int]:
-        words = text.split(" ")
-        # white space beside a space belongs to one token with it: such texts are encoded whole
-        if not all(words) or any(w[0].isspace() or w[-1].isspace() for w in words):
-            return encoding.encode_ordinary(text)
-        if len(known) > REMEMBERED:
-            known.clear()
-        found = [encoding.encode_ordinary(words[0])]
-        for word in words[1:]:
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = encoding.encode_ordinary(" " + word)
-            found.append(ids)
-        return list(chain.from_iterable(found))
-
-    return encode
+    return lambda text: np.array(encoding.encode_ordinary(text), dtype="<u4").tobytes()
 
 
-def encoder(vocabulary: str) -> Callable[[str], list[int]]:
-    """text -> the ids that the ``.json`` tokenizer gives without adding special tokens.
+def byte_pair_encoder(vocabulary: str) -> Callable[[str], list[int]]:
+    """text -> ids of ordinary text, for the vocabulary of a ``.json`` tokenizer file.
 
-    Added tokens that stand in the text, the longest where several start, have their own ids; what lies between
-    is ordinary text.
+    The rank file beside it holds the same vocabulary in the form the faster library reads; tests compare the
+    two. Texts are encoded whole: a memory of the words seen costs more than it spares once words are many.
     """
+    encode = _ordinary_bytes(vocabulary)
+    return lambda text: np.frombuffer(encode(text), "<u4").tolist()
+
+
+def bytes_encoder(vocabulary: str) -> Callable[[str], bytes]:
+    """What ``encoder`` gives, as little-endian 32-bit numbers: ids never become objects of their own."""
     with open(vocabulary, encoding="utf-8") as file:
         added = json.load(file).get("added_tokens") or []
     if odd := [t["content"] for t in added if any(t.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))]:
         raise ValueError(f"added tokens that match other than as they stand: {odd}")
-    ordinary, ids = byte_pair_encoder(vocabulary), {t["content"]: t["id"] for t in added}
+    ordinary = _ordinary_bytes(vocabulary)
+    ids = {t["content"]: np.array([t["id"]], dtype="<u4").tobytes() for t in added}
     if not ids:
         return ordinary
     standing = re.compile("(" + "|".join(map(re.escape, sorted(ids, key=len, reverse=True))) + ")")
 
-    def encode(text: str) -> list[int]:
+    def encode(text: str) -> bytes:
         parts = standing.split(text)
         if len(parts) == 1:
             return ordinary(text)
-        return list(chain.from_iterable([ids[p]] if i % 2 else ordinary(p) for i, p in enumerate(parts)))
+        return b"".join(ids[p] if i % 2 else ordinary(p) for i, p in enumerate(parts))
 
     return encode
 
 
+def encoder(vocabulary: str) -> Callable[[str], list[int]]:
+    """text -> the ids that the ``.json`` tokenizer gives without adding special tokens.
+
+    Added tokens that stand in the text, the longest where several start, have their own ids; what lies between
+    is ordinary text.
+    """
+    encode = bytes_encoder(vocabulary)
+    return lambda text: np.frombuffer(encode(text), "<u4").tolist()
+
+
 def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens of every piece, stored, with its rank inside its task.
 
@@ -103,16 +95,17 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, with_ids: boo
     bounded_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary)
+        encode, end = bytes_encoder(vocabulary), np.array([END], dtype="<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = np.array([*encode(text), END], dtype="<u4")
-                for start in range(0, len(ids), length):
-                    own = ids[start : start + length].tobytes()
+                ids = encode(text) + end
+                tokens = len(ids) // 4
+                for start in range(0, tokens, length):
+                    own = ids[4 * start : 4 * (start + length)]
                     size = len(own) // 4
-                    rows.append((doc_id, start, size, zlib.crc32(own), len(ids), part, seen[size], own))
+                    rows.append((doc_id, start, size, zlib.crc32(own), tokens, part, seen[size], own))
                     seen[size] += 1
             frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "local", "ids"])
             # ids of documents may be null; they must not turn into floats on the way

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -26,6 +27,19 @@ def test_encoder_agrees_with_the_tokenizer(reference, odd_rows, spark):
     assert [encode(t) for t in texts] == [reference(t) for t in texts]
 
 
+def test_ids_are_bytes_from_the_start_and_words_are_not_kept(reference):
+    """What an encoder holds does not grow with the distinct words it meets."""
+    encode = packing.bytes_encoder(VOCABULARY)
+    encode("warm up")
+    tracemalloc.start()
+    for i in range(20):
+        text = " ".join(f"word{i}x{j}" for j in range(1000))
+        assert encode(text) == np.array(reference(text), "<u4").tobytes()
+    kept, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept < 500_000  # 20,000 words and their ids took over 3 MB
+
+
 def test_added_tokens_have_their_ids(documents, odd_rows, prose):
     """As the tokenizer is used, without its special tokens turned into ordinary text."""
     tokenizer = Tokenizer.from_file(VOCABULARY)
