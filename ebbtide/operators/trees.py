@@ -2,7 +2,7 @@
 
 A table has one row per node: tree, node (numbered from 0, the root, inside its tree), feature (a position, below 0
 at a leaf), threshold, left_child, right_child, value (of a leaf). Its size is set by the model and not by the rows
-that are scored, so it travels as arrays in one broadcast row, and a fold over the depth leads each row to its leaf.
+that are scored, so it travels as arrays, a constant of the projection, and a fold over the depth leads each row to its leaf.
 """
 
 from __future__ import annotations
@@ -13,38 +13,63 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import CUSTOMER, PREDICTED, PROBABILITY_0, PROBABILITY_1, TARGET
+from ..session import materialise
 
 _PARTS = ("feature", "threshold", "left_child", "right_child", "value")
 
 
 def as_arrays(nodes: DataFrame) -> DataFrame:
-    """One row with ``forest``: for each tree, in order, arrays of its nodes' parts."""
+    """One row with ``forest``: for each tree, in order, an array of its nodes as they are walked.
+
+    The root comes first, then the two children of each inner node side by side, so that ``left`` alone names both.
+    A leaf is its own left child, and no value is above its threshold.
+    """
     by_tree = nodes.groupBy("tree").agg(F.array_sort(F.collect_list(F.struct("node", *_PARTS))).alias("nodes"))
-    arrays = F.struct("tree", *[F.col(f"nodes.{p}").alias(p) for p in _PARTS])
-    return by_tree.agg(F.array_sort(F.collect_list(arrays)).alias("forest"))
+    inner = F.filter("nodes", lambda n: n["feature"] >= 0)
+    children = F.flatten(F.transform(inner, lambda n: F.array(n["left_child"], n["right_child"])))
+    placed = by_tree.select("tree", "nodes", F.transform(inner, lambda n: n["node"]).alias("inner"),
+                            F.concat(F.array(F.lit(0)), children).alias("order"))
+
+    def walked(number: Column, place: Column) -> Column:
+        node = F.get("nodes", number)
+        leaf = node["feature"] < 0
+        left = F.when(leaf, place).otherwise((2 * F.array_position("inner", number) - 1).cast("int"))
+        return F.struct(F.when(leaf, 0).otherwise(node["feature"]).alias("feature"),
+                        F.when(leaf, F.lit(float("nan"))).otherwise(node["threshold"]).alias("threshold"),
+                        left.alias("left"), node["value"].alias("value"))
+
+    trees = placed.select("tree", F.transform("order", walked).alias("nodes"))
+    ordered = F.array_sort(F.collect_list(F.struct("tree", "nodes")))
+    return trees.agg(F.transform(ordered, lambda t: t["nodes"]).alias("forest"))
 
 
 def leaf_value(values: Column, tree: Column, depth: int) -> Column:
-    """The value of the leaf that a row's ``values`` reach in at most ``depth`` steps.
+    """The value of the leaf that a row's ``values``, none of them null, reach in at most ``depth`` steps.
 
-    A value at or below the threshold goes left.
+    A value at or below the threshold goes left. A step takes one node and one value.
     """
 
     def step(node: Column, _) -> Column:
-        feature = F.get(tree["feature"], node)
-        left = F.get(values, feature) <= F.get(tree["threshold"], node)
-        child = F.when(left, F.get(tree["left_child"], node)).otherwise(F.get(tree["right_child"], node))
-        return F.when(feature < 0, node).otherwise(child)
+        right = F.when(F.get(values, node["feature"]) > node["threshold"], 1).otherwise(0)
+        return F.get(tree, node["left"] + right)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))), F.lit(0), step, lambda node: F.get(tree["value"], node))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))), F.get(tree, F.lit(0)), step, lambda node: node["value"])
 
 
 def total_value(df: DataFrame, values: Column, nodes: DataFrame, depth: int, name: str) -> DataFrame:
-    """Add ``name``: the sum, over all trees, of the value of the row's leaf. No trees sum to 0."""
-    row = df.select("*", values.alias("_values")).join(F.broadcast(as_arrays(nodes)), how="cross")
-    each = F.transform("forest", lambda tree: leaf_value(F.col("_values"), tree, depth))
-    total = F.aggregate(each, F.lit(0.0), lambda a, b: a + b)
-    return row.withColumn(name, total).drop("_values", "forest")
+    """Add ``name``: the sum, over all trees, of the value of the row's leaf. No trees sum to 0.
+
+    The arrays are a scalar subquery over one stored row, and so a constant of the projection. Joined to the rows they
+    would be copied, whole, into each of them.
+    """
+    row = df.select("*", materialise(as_arrays(nodes), "trees").scalar().alias("_forest"))
+
+    def total(numbers: Column) -> Column:
+        each = F.transform("_forest", lambda tree: leaf_value(numbers, tree, depth))
+        return F.aggregate(each, F.lit(0.0), lambda a, b: a + b)
+
+    # the values become an array once for a row, not in every step
+    return row.withColumn(name, F.get(F.transform(F.array(values), total), F.lit(0))).drop("_forest")
 
 
 def numbers(names: Sequence[str]) -> Column:

@@ -84,3 +84,12 @@ def test_outlier_scores_equal_a_plain_walk(spark, customers):
                 node = tree.loc[node, side]
             total += tree.loc[node, "value"]
         assert math.isclose(row.outlier_score, 2 ** (-total / scale), abs_tol=1e-8)
+
+
+def test_trees_are_a_constant_and_no_column_of_the_rows(customers):
+    """A row joined to the nodes holds a copy of all of them."""
+    nodes = outliers.grow_forest(customers, NAMES, trees=9, rows_per_tree=64)
+    scored = trees.total_value(customers, trees.numbers(NAMES), materialise(nodes, "nodes"), 6, "total")
+    plan = scored._jdf.queryExecution().optimizedPlan()
+    names = [plan.p(i).nodeName() for i in range(3) if plan.p(i) is not None]
+    assert not any("Join" in name for name in names) and names.count("Project") == 1, names
