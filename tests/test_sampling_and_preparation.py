@@ -88,6 +88,23 @@ def test_uncorrelated_selection(spark):
         *zip(*[(r.a, r.b) for r in df.collect()]))[0, 1])
 
 
+def counted(spark, df, column):
+    """The same rows, and how often their ``column`` was computed so far."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def same(value):
+        seen.add(1)
+        return value
+
+    return df.withColumn(column, F.udf(same, "double")(F.col(column).cast("double"))), seen
+
+
+def test_correlations_assemble_each_row_once(spark):
+    df, seen = counted(spark, numbers(spark), "a")
+    prepare.correlation_matrix(df, ["a", "b"])
+    assert seen.value == df.count()
+
+
 def test_importance_selection(spark):
     df = numbers(spark).select(CUSTOMER, "a", "b", "k", TARGET)
     kept = prepare.select_important(df, 0.0, 0.5, iterations=5, depth=3)
