@@ -105,6 +105,12 @@ def test_correlations_assemble_each_row_once(spark):
     assert seen.value == df.count()
 
 
+def test_importances_assemble_each_row_once(spark):
+    df, seen = counted(spark, numbers(spark).select(CUSTOMER, "a", "b", TARGET), "a")
+    prepare.feature_importances(df, iterations=2, depth=2)
+    assert seen.value == df.count()
+
+
 def test_importance_selection(spark):
     df = numbers(spark).select(CUSTOMER, "a", "b", "k", TARGET)
     kept = prepare.select_important(df, 0.0, 0.5, iterations=5, depth=3)
