@@ -134,6 +134,28 @@ def test_scaling(spark):
         assert [r[c] for c in names] == pytest.approx(one[r[CUSTOMER]])
 
 
+def test_statistics_of_scaling_take_two_aggregates_however_many_columns(spark, monkeypatch):
+    rows = [("a", 1.0, None, 7, 0.1), ("b", None, None, 7, 0.1), ("c", 4.0, None, 7, 0.1), ("d", 10.0, 3.0, 7, 0.1)]
+    df = spark.createDataFrame(rows, f"{CUSTOMER} string, `x.1` double, lone double, k int, tenth double").repartition(3)
+    plans = []
+    collect, first = type(df).collect, type(df).first
+
+    def seen(run):
+        def of(self, *args):
+            plans.append(self._jdf.queryExecution().optimizedPlan().toString())
+            return run(self, *args)
+        return of
+
+    monkeypatch.setattr(type(df), "collect", seen(collect))
+    monkeypatch.setattr(type(df), "first", seen(first))
+    scaling = prepare.fit_scaling(df, ["x.1", "lone", "k", "tenth"])
+    assert scaling.mean == pytest.approx({"x.1": 5.0, "lone": 3.0, "k": 7.0, "tenth": 0.1})
+    assert scaling.deviation == pytest.approx({"x.1": 21 ** 0.5, "lone": 0.0, "k": 0.0, "tenth": 0.0}, abs=0)
+    assert len(plans) == 1 and plans[0].count("avg(") == plans[0].count("stddev_samp(") == 1
+    assert prepare.fit_scaling(df.limit(0), ["k"]) == prepare.Scaling({"k": 0.0}, {"k": 0.0})
+    assert prepare.fit_scaling(df, []) == prepare.Scaling({}, {})
+
+
 def test_nulls_enter_vectors_as_zero(spark):
     df = spark.createDataFrame([("x", None, 2.0)], f"{CUSTOMER} string, `a.b` double, c double")
     assert prepare.assemble(df, ["a.b", "c"]).first().features.toArray().tolist() == [0.0, 2.0]
